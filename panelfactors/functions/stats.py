@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from fractions import Fraction
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -48,13 +49,17 @@ def _floor_pos(n: Column, f: Fraction) -> Column:
     return ((x - x % d) / d).cast("long")
 
 
-def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
-    """Exact order statistics per group.
+def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
+    """Rows holding each target order statistic: ``keys..., _n, _t, _v`` (one per group and target).
 
     ``base`` has the group columns ``keys`` and a non-null double ``_v``.
     ``targets`` are ``(name, position_fn, hint)``: ``position_fn(n)`` gives the
     0-based sorted position wanted in a group of n values and ``hint`` is the
-    fraction of n it sits near.  Returns ``keys, _n`` and one column per target.
+    fraction of n it sits near.
+
+    The per-group tables joined back to ``base`` hold one row per group.
+    Callers group by calendar periods (years, months), so their size is bounded
+    by the calendar, not by the data, and they are broadcast.
     """
     pcts = sorted({min(1.0, max(0.0, h + s * w)) for _, _, h in targets for w in _WIDTHS for s in (-1, 1)})
     pidx = {p: i for i, p in enumerate(pcts)}
@@ -64,27 +69,24 @@ def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str,
         F.count("_v").alias("_n"),
         F.percentile_approx("_v", pcts, _ACCURACY).alias("_q"),
     )
-    n = F.col("_n")
-    bcols = []
+    n, q = F.col("_n"), F.col("_q")
+    bexprs = []
     for ti, (_, pos_fn, hint) in enumerate(targets):
-        stats = stats.withColumn(f"_k{ti}", pos_fn(n))
-        bcols.append(f"_k{ti}")
+        bexprs.append(pos_fn(n).alias(f"_k{ti}"))
         for wi, w in enumerate(_WIDTHS):
-            lo = pidx[min(1.0, max(0.0, hint - w))]
-            hi = pidx[min(1.0, max(0.0, hint + w))]
-            stats = stats.withColumn(f"_lo{ti}_{wi}", F.col("_q")[lo]).withColumn(f"_hi{ti}_{wi}", F.col("_q")[hi])
-            bcols += [f"_lo{ti}_{wi}", f"_hi{ti}_{wi}"]
-    stats = stats.drop("_q")
-
-    # pass 2: exact counts below / up to each bracket bound (partial aggregation);
-    # the stats side has one row per group, so the runtime planner broadcasts it
+            bexprs.append(q[pidx[min(1.0, max(0.0, hint - w))]].alias(f"_lo{ti}_{wi}"))
+            bexprs.append(q[pidx[min(1.0, max(0.0, hint + w))]].alias(f"_hi{ti}_{wi}"))
+    stats = stats.select(*keys, "_n", *bexprs)
+    bcols = [e for e in stats.columns if e not in keys and e != "_n"]
+
+    # pass 2: exact counts below / up to each bracket bound (partial aggregation)
     v = F.col("_v")
     aggs = []
     for ti in range(len(targets)):
         for wi in range(len(_WIDTHS)):
             aggs.append(F.count_if(v < F.col(f"_lo{ti}_{wi}")).alias(f"_lt{ti}_{wi}"))
             aggs.append(F.count_if(v <= F.col(f"_hi{ti}_{wi}")).alias(f"_le{ti}_{wi}"))
-    counts = base.join(stats, keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
+    counts = base.join(F.broadcast(stats), keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
 
     # narrowest verified bracket; none verified -> the whole group (small groups)
     sel = [*keys, "_n"]
@@ -102,7 +104,7 @@ def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str,
                 lo = F.when(ok, lo_c).otherwise(lo)
                 hi = F.when(ok, hi_c).otherwise(hi)
                 off = F.when(ok, off_c).otherwise(off)
-        sel += [k.alias(f"_k{ti}"), lo.alias(f"_blo{ti}"), hi.alias(f"_bhi{ti}"), off.alias(f"_off{ti}")]
+        sel += [(k - off).alias(f"_pos{ti}"), lo.alias(f"_blo{ti}"), hi.alias(f"_bhi{ti}")]
     brackets = counts.select(*sel)
 
     # pass 3: rows inside a bracket, tagged by target, sorted per (group, target)
@@ -112,13 +114,21 @@ def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str,
         cond = (blo.isNull() | (v >= blo)) & (bhi.isNull() | (v <= bhi))
         inside.append(F.when(cond, F.lit(ti)))
     cand = (
-        base.join(brackets, keys)
+        base.join(F.broadcast(brackets), keys)
         .withColumn("_t", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())))
-        .withColumn("_pos", F.element_at(
-            F.array(*[F.col(f"_k{ti}") - F.col(f"_off{ti}") for ti in range(len(targets))]), F.col("_t") + 1))
+        .withColumn("_pos", F.element_at(F.array(*[F.col(f"_pos{ti}") for ti in range(len(targets))]),
+                                         F.col("_t") + 1))
+        .select(*keys, "_n", "_t", "_pos", "_v")
     )
     w = Window.partitionBy(*keys, "_t").orderBy("_v")
-    picked = cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") - 1 == F.col("_pos"))
+    return (cand.withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") - 1 == F.col("_pos"))
+            .select(*keys, "_n", "_t", "_v"))
+
+
+def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
+    """Exact order statistics per group: ``keys, _n`` and one column per target name."""
+    picked = _select_rows(base, keys, targets)
     return picked.groupBy(*keys, "_n").agg(*[
         F.first(F.when(F.col("_t") == ti, F.col("_v")), ignorenulls=True).alias(name)
         for ti, (name, _, _) in enumerate(targets)
@@ -142,16 +152,15 @@ def quantile_edges(df: DataFrame, by: list[str], columns: dict[str, object], cut
     """
     fracs = sorted({f for f in exact_cuts(cuts) if 0 < f < 1})
     targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in fracs]
-    long = _stack(df, by, columns)
-    stats = order_statistics(long, by + ["_key"], targets)
+    picked = _select_rows(_stack(df, by, columns), by + ["_key"], targets)
     aggs = []
     for name in columns:
         is_name = F.col("_key") == name
         aggs.append(F.first(F.when(is_name, F.col("_n")), ignorenulls=True).alias(f"{name}__n"))
-        for f in fracs:
-            aggs.append(F.first(F.when(is_name, F.col(f"_e{_frac_name(f)}")), ignorenulls=True)
+        for ti, f in enumerate(fracs):
+            aggs.append(F.first(F.when(is_name & (F.col("_t") == ti), F.col("_v")), ignorenulls=True)
                         .alias(f"{name}__{_frac_name(f)}"))
-    return stats.groupBy(*by).agg(*aggs)
+    return picked.groupBy(*by).agg(*aggs)
 
 
 def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs) -> DataFrame:
@@ -161,26 +170,28 @@ def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs)
     """
     fracs = [Fraction(str(p)) for p in probs]
     targets = []
-    for i, f in enumerate(fracs):
-        targets.append((f"_plo{i}", (lambda n, f=f: _floor_pos(n, f)), float(f)))
-        targets.append((f"_phi{i}", (lambda n, f=f: F.least(_floor_pos(n, f) + 1, n - 1)), float(f)))
-    long = _stack(df, by, columns)
-    stats = order_statistics(long, by + ["_key"], targets)
-    n = F.col("_n")
-    outs = []
-    for i, f in enumerate(fracs):
-        rem = ((n - 1).cast("long") * F.lit(f.numerator)) % F.lit(f.denominator)
-        weight = rem.cast("double") / F.lit(float(f.denominator))
-        lo, hi = F.col(f"_plo{i}"), F.col(f"_phi{i}")
-        outs.append((lo + (hi - lo) * weight).alias(f"_p{i}"))
-    stats = stats.select(*by, "_key", "_n", *outs)
+    for f in fracs:
+        targets.append(("lo", (lambda n, f=f: _floor_pos(n, f)), float(f)))
+        targets.append(("hi", (lambda n, f=f: F.least(_floor_pos(n, f) + 1, n - 1)), float(f)))
+    picked = _select_rows(_stack(df, by, columns), by + ["_key"], targets)
     aggs = []
     for name in columns:
         is_name = F.col("_key") == name
         aggs.append(F.first(F.when(is_name, F.col("_n")), ignorenulls=True).alias(f"{name}__n"))
-        for i in range(len(fracs)):
-            aggs.append(F.first(F.when(is_name, F.col(f"_p{i}")), ignorenulls=True).alias(f"{name}__p{i}"))
-    return stats.groupBy(*by).agg(*aggs)
+        for ti in range(len(targets)):
+            aggs.append(F.first(F.when(is_name & (F.col("_t") == ti), F.col("_v")), ignorenulls=True)
+                        .alias(f"_{name}__t{ti}"))
+    stats = picked.groupBy(*by).agg(*aggs)
+    outs = []
+    for name in columns:
+        n = F.col(f"{name}__n")
+        outs.append(n)
+        for i, f in enumerate(fracs):
+            rem = ((n - 1).cast("long") * F.lit(f.numerator)) % F.lit(f.denominator)
+            weight = rem.cast("double") / F.lit(float(f.denominator))
+            lo, hi = F.col(f"_{name}__t{2 * i}"), F.col(f"_{name}__t{2 * i + 1}")
+            outs.append((lo + (hi - lo) * weight).alias(f"{name}__p{i}"))
+    return stats.select(*by, *outs)
 
 
 def _label_by_rank(col: Column, r: Column, n: Column, cuts, labels) -> Column:
@@ -194,6 +205,70 @@ def _label_by_rank(col: Column, r: Column, n: Column, cuts, labels) -> Column:
     return F.when(col.isNotNull(), expr)
 
 
+def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> list[DataFrame]:
+    """Quantile buckets for several tables in one shared selection pass.
+
+    ``frames`` are ``(df, by, specs)`` with ``specs`` as in :func:`qbuckets`;
+    all tables must have the same number of group columns.  Every sort of
+    every table is stacked into one long ``(group, sort, value)`` frame, the
+    needed order statistics are selected together, and one wide edge table
+    (one row per group) is joined back to each table.
+    """
+    width = {len(by) for _, by, _ in frames}
+    if len(width) != 1:
+        raise ValueError("all frames need the same number of group columns")
+    gcols = [f"_g{i}" for i in range(width.pop())]
+    all_cuts = sorted({f for _, _, specs in frames for _, cuts, _, _ in specs
+                       for f in exact_cuts(cuts) if 0 < f < 1})
+    longs = []
+    for df, by, specs in frames:
+        structs = [F.struct(F.lit(name).alias("_key"), _col(col).cast("double").alias("_v"))
+                   for col, _, _, name in specs]
+        longs.append(df.select(*[F.col(b).alias(g) for b, g in zip(by, gcols)],
+                               F.explode(F.array(*structs)).alias("_s")))
+    long = longs[0]
+    for other in longs[1:]:
+        long = long.unionByName(other)
+    # the stacked values feed three passes; keep them (stock-period grain:
+    # small next to the return panel) instead of recomputing their lineage
+    long = (long.select(*gcols, F.col("_s._key").alias("_key"), F.col("_s._v").alias("_v"))
+            .filter(F.col("_v").isNotNull())
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in all_cuts]
+    picked = _select_rows(long, gcols + ["_key"], targets)
+    aggs = []
+    for _, _, specs in frames:
+        for _, cuts, _, name in specs:
+            for f in exact_cuts(cuts):
+                if 0 < f < 1:
+                    ti = all_cuts.index(f)
+                    aggs.append(F.first(F.when((F.col("_key") == name) & (F.col("_t") == ti), F.col("_v")),
+                                        ignorenulls=True).alias(f"{name}__{_frac_name(f)}"))
+    # one row per group (calendar period): bounded by the calendar, broadcast
+    edges = F.broadcast(picked.groupBy(*gcols).agg(*aggs))
+
+    outs = []
+    for df, by, specs in frames:
+        mine = [c for c in edges.columns if c in gcols or any(c.startswith(f"{n}__") for _, _, _, n in specs)]
+        e = edges.select(*mine)
+        cond = None
+        for b, g in zip(by, gcols):
+            c = df[b] == e[g]
+            cond = c if cond is None else cond & c
+        joined = df.join(e, cond, "left")
+        labels_sel = []
+        for col, cuts, labels, name in specs:
+            c = _col(col)
+            expr = None
+            for f, lab in zip([f for f in exact_cuts(cuts) if 0 < f < 1], labels[:-1]):
+                edge = F.col(f"{name}__{_frac_name(f)}")
+                expr = F.when(c <= edge, F.lit(lab)) if expr is None else expr.when(c <= edge, F.lit(lab))
+            expr = F.lit(labels[-1]) if expr is None else expr.otherwise(F.lit(labels[-1]))
+            labels_sel.append(F.when(c.isNotNull(), expr).alias(name))
+        outs.append(joined.select(*[df[c] for c in df.columns], *labels_sel))
+    return outs
+
+
 def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str = "edges",
              strict: bool = False) -> DataFrame:
     """Add quantile-bucket label columns, one per spec ``(column, cuts, labels, out)``.
@@ -208,31 +283,16 @@ def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str = "ed
     if strict:
         df = _check_distinct_edges(df, by, specs)
     if method == "window":
-        out = df
+        labels_sel = []
         for col, cuts, labels, name in specs:
             c = _col(col)
             r = F.rank().over(Window.partitionBy(*by).orderBy(c.asc_nulls_last())) - 1
             n = F.count(c).over(Window.partitionBy(*by))
-            out = out.withColumn(name, _label_by_rank(c, r, n, cuts, labels))
-        return out
+            labels_sel.append(_label_by_rank(c, r, n, cuts, labels).alias(name))
+        return df.select("*", *labels_sel)
     if method != "edges":
         raise ValueError(f"unknown method {method!r}")
-
-    all_cuts = sorted({f for _, cuts, _, _ in specs for f in exact_cuts(cuts) if 0 < f < 1})
-    edges = quantile_edges(df, by, {name: col for col, _, _, name in specs}, [float(f) for f in all_cuts])
-    out = df.join(edges, by, "left")
-    drop = []
-    for col, cuts, labels, name in specs:
-        c = _col(col)
-        inner = [f for f in exact_cuts(cuts) if 0 < f < 1]
-        expr = None
-        for f, lab in zip(inner, labels[:-1]):
-            e = F.col(f"{name}__{_frac_name(f)}")
-            expr = F.when(c <= e, F.lit(lab)) if expr is None else expr.when(c <= e, F.lit(lab))
-        expr = F.lit(labels[-1]) if expr is None else expr.otherwise(F.lit(labels[-1]))
-        out = out.withColumn(name, F.when(c.isNotNull(), expr))
-        drop += [f"{name}__n"] + [f"{name}__{_frac_name(f)}" for f in all_cuts]
-    return out.drop(*drop)
+    return bucket_frames([(df, list(by), specs)])[0]
 
 
 def qbucket(df: DataFrame, by, col, cuts, labels, out: str, method: str = "edges",

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.stats import qbuckets
+from ..functions.stats import bucket_frames, qbuckets
 from ..operators.calendars import with_momentum_months, with_rebalance_year
 from ..operators.market import index_return, market_premium, risk_free
 from ..operators.portfolios import (attach_groups, factor_spreads, momentum_spread, to_wide,
@@ -136,12 +136,17 @@ def momentum_groups(inp: FactorInputs, method: str = "edges") -> DataFrame:
 
     Both sorts are formed over their own full cross-section first (momentum
     over all stocks with a signal, size over all stocks with a cap) and only
-    then joined, so the return panel meets a single group table.
+    then joined, so the return panel meets a single group table.  With the
+    edges method both sorts share one selection pass.
     """
-    mom = qbuckets(momentum(inp.monthret), ["mom_month"],
-                   [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")], method=method)
-    caps = qbuckets(month_end_cap(inp.marketcap), ["mc_month"],
-                    [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")], method=method)
+    mom_specs = [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")]
+    cap_specs = [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")]
+    mom, caps = momentum(inp.monthret), month_end_cap(inp.marketcap)
+    if method == "edges":
+        mom, caps = bucket_frames([(mom, ["mom_month"], mom_specs), (caps, ["mc_month"], cap_specs)])
+    else:
+        mom = qbuckets(mom, ["mom_month"], mom_specs, method=method)
+        caps = qbuckets(caps, ["mc_month"], cap_specs, method=method)
     mom = mom.withColumn("mc_month", F.add_months("mom_month", -1))
     return mom.join(caps, ["stock_id", "mc_month"], "inner").select(
         "stock_id", "mom_month", "mc_month", "mom", "g_mom", "MC", "g_size")

@@ -41,10 +41,21 @@ PATTERN = A.FINANCIAL_PATTERN
 ROUND = 6
 
 
+def round_double(c, digits: int = ROUND):
+    """Round a double on its binary value: nearest integer of x * 10^d, then / 10^d.
+
+    (``F.round`` rounds the shortest decimal text of the double, which turns a
+    value just below a half into an exact half.)
+    """
+    scale = float(10 ** digits)
+    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+
+
 def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
     """Round every DOUBLE column (comparison precision)."""
     return df.select(*[
-        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        round_double(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType)
+        else F.col(f.name)
         for f in df.schema.fields
     ])
 

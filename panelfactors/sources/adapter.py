@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -74,16 +75,33 @@ class FinanceTables:
         )
 
     def _daily(self) -> DataFrame:
-        """Per stock and day: money, volume, unit-price range, line count."""
+        """Per stock and day: every money sum the finance tables need, one scan.
+
+        All other lineitem-derived tables aggregate this table further; it is
+        one plan node, so Spark reuses its shuffle across every branch of a
+        query instead of rescanning lineitem.  Re-rounding a sum of rounded
+        daily sums gives the same double as rounding the sum of the lines,
+        because each exact sum has at most 2 (or 4) decimals.
+
+        Each branch of a query prunes a different set of these sums, which
+        would defeat exchange reuse and rescan lineitem once per branch, so
+        the table is persisted (memory and disk; lost blocks are recomputed
+        from lineage).  At cluster scale this adapter is a one-off job whose
+        output is written as parquet and read by the factor runs.
+        """
         def build():
             unit = F.col("ep") / F.col("qty")
-            return self._lines().groupBy("stock_id", F.col("d").alias("date")).agg(
+            signed = F.when(F.col("rf") == "R", -F.col("ep")).otherwise(F.col("ep"))
+            return self._lines().groupBy("sk", "stock_id", F.col("d").alias("date")).agg(
                 F.round(F.sum("ep"), 2).alias("money"),
+                F.round(F.sum(signed), 2).alias("signed"),
+                F.round(F.sum(F.col("ep") * (F.lit(0.5) + F.col("disc"))), 4).alias("cogs"),
+                F.round(F.sum(F.col("ep") * F.col("tax")), 4).alias("opex"),
                 F.sum("qty").alias("volume"),
                 F.max(unit).alias("unit_max"),
                 F.min(unit).alias("unit_min"),
                 F.count(F.lit(1)).alias("lines"),
-            )
+            ).persist(StorageLevel.MEMORY_AND_DISK)
         return self._memo("daily", build)
 
     def marketcap(self) -> DataFrame:
@@ -100,22 +118,21 @@ class FinanceTables:
 
     def monthret(self) -> DataFrame:
         def build():
-            m = (self._lines().groupBy("stock_id", month_key("d").alias("month"))
-                 .agg((F.round(F.sum("ep"), 2) / F.sum("qty")).alias("price")))
+            m = (self._daily().groupBy("stock_id", month_key("date").alias("month"))
+                 .agg((F.round(F.sum("money"), 2) / F.sum("volume")).alias("price")))
             w = Window.partitionBy("stock_id").orderBy("month")
             return m.select("stock_id", "month", (F.col("price") / F.lag("price").over(w) - 1).alias("ret"))
         return self._memo("monthret", build)
 
     def _quarterly(self) -> DataFrame:
         def build():
-            li = self._lines()
-            signed = F.when(F.col("rf") == "R", -F.col("ep")).otherwise(F.col("ep"))
-            return li.groupBy("sk", "stock_id", quarter_end("d").alias("date")).agg(
-                F.round(F.sum(signed), 2).alias("Equity"),
-                F.round(F.sum("ep"), 2).alias("TotalAssets"),
-                F.round(F.sum("ep"), 2).alias("Revenue"),
-                F.round(F.sum(F.col("ep") * (F.lit(0.5) + F.col("disc"))), 4).alias("CostOfGoodsSold"),
-                F.round(F.sum(F.col("ep") * F.col("tax")), 4).alias("OperatingExpenses"),
+            money = F.round(F.sum("money"), 2)
+            return self._daily().groupBy("sk", "stock_id", quarter_end("date").alias("date")).agg(
+                F.round(F.sum("signed"), 2).alias("Equity"),
+                money.alias("TotalAssets"),
+                money.alias("Revenue"),
+                F.round(F.sum("cogs"), 4).alias("CostOfGoodsSold"),
+                F.round(F.sum("opex"), 4).alias("OperatingExpenses"),
             )
         return self._memo("quarterly", build)
 
@@ -139,23 +156,25 @@ class FinanceTables:
         return self._memo("incomestatement", build)
 
     # ---- orders-derived ---------------------------------------------------
-    def taiex(self) -> DataFrame:
+    def _orders_daily(self) -> DataFrame:
+        """Per order day: index price and yield, one scan of orders."""
         def build():
-            o = _read(self.spark, self.sf_dir, "orders", ["o_orderdate", "o_totalprice"])
+            o = _read(self.spark, self.sf_dir, "orders", ["o_orderdate", "o_totalprice", "o_orderpriority"])
+            y = F.when(F.col("o_orderpriority") == URGENT_PRIORITY, F.lit(URGENT_YIELD)).otherwise(F.lit(OTHER_YIELD))
             return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(
-                (F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).alias("price")
-            ).select("date", F.lit(INDEX_ID).alias("stock_id"), "price")
-        return self._memo("taiex", build)
+                (F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).alias("price"),
+                F.avg(y).alias("close"),
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+        return self._memo("orders_daily", build)
+
+    def taiex(self) -> DataFrame:
+        return self._memo("taiex", lambda: self._orders_daily().select(
+            "date", F.lit(INDEX_ID).alias("stock_id"), "price"))
 
     def bond_yield(self) -> DataFrame:
-        def build():
-            o = _read(self.spark, self.sf_dir, "orders", ["o_orderdate", "o_orderpriority"])
-            d = F.to_date("o_orderdate")
-            y = F.when(F.col("o_orderpriority") == URGENT_PRIORITY, F.lit(URGENT_YIELD)).otherwise(F.lit(OTHER_YIELD))
-            return (o.filter(F.dayofmonth(d) % YIELD_DAY_MOD == 0)
-                    .groupBy(d.alias("d")).agg(F.avg(y).alias("close"))
-                    .select(F.date_format("d", "yyyy/MM/dd").alias("date"), "close"))
-        return self._memo("bond_yield", build)
+        return self._memo("bond_yield", lambda: self._orders_daily()
+                          .filter(F.dayofmonth("date") % YIELD_DAY_MOD == 0)
+                          .select(F.date_format("date", "yyyy/MM/dd").alias("date"), "close"))
 
     # ---- supplier-derived -------------------------------------------------
     def _listing(self, parity: int) -> DataFrame:
