@@ -34,10 +34,17 @@ def main() -> None:
     ncores = os.cpu_count() if cpus == "*" else int(cpus)
     spark = local_session(cpus, shuffle_partitions=max(8, 2 * ncores), app="panelfactors-bench")
 
-    # warm-up: JVM, codegen caches, file listing
-    QUERIES["index_ret_month"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    from panelfactors.sources.adapter import finance_tables
+
+    # warm-up on the small fixture: JVM, codegen caches
+    QUERIES["index_ret_month"](spark, "/root/testdata/sf0.001").write.format("noop").mode("overwrite").save()
 
     times = {}
+    # the adapter (driver tables -> finance tables, written as parquet) runs once
+    # per session and is timed as its own step; every query then scans the files
+    t0 = time.perf_counter()
+    finance_tables(spark, sf_dir)
+    times["adapter_materialize"] = round(time.perf_counter() - t0, 3)
     for name in names:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()

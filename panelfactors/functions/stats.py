@@ -21,6 +21,7 @@ Two physical strategies give the same labels:
 
 from __future__ import annotations
 
+import os
 from fractions import Fraction
 
 from pyspark import StorageLevel
@@ -29,6 +30,9 @@ from pyspark.sql import functions as F
 
 from ..schemas import exact_cuts
 
+# default physical strategy for quantile buckets ("edges" or "window")
+DEFAULT_METHOD = os.environ.get("PANELFACTORS_BUCKET_METHOD", "edges")
+
 # sketch accuracy (relative rank error 1/accuracy) and bracket half-widths
 _ACCURACY = 10000
 _WIDTHS = (1e-3, 1e-2)
@@ -269,7 +273,7 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
     return outs
 
 
-def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str = "edges",
+def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str | None = None,
              strict: bool = False) -> DataFrame:
     """Add quantile-bucket label columns, one per spec ``(column, cuts, labels, out)``.
 
@@ -280,6 +284,7 @@ def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str = "ed
     for _, cuts, labels, _ in specs:
         if len(labels) != len(cuts) - 1:
             raise ValueError("need one label per bin")
+    method = method or DEFAULT_METHOD
     if strict:
         df = _check_distinct_edges(df, by, specs)
     if method == "window":
@@ -295,7 +300,7 @@ def qbuckets(df: DataFrame, by: list[str], specs: list[tuple], method: str = "ed
     return bucket_frames([(df, list(by), specs)])[0]
 
 
-def qbucket(df: DataFrame, by, col, cuts, labels, out: str, method: str = "edges",
+def qbucket(df: DataFrame, by, col, cuts, labels, out: str, method: str | None = None,
             strict: bool = False) -> DataFrame:
     by = [by] if isinstance(by, str) else list(by)
     return qbuckets(df, by, [(col, cuts, labels, out)], method=method, strict=strict)

@@ -6,6 +6,7 @@ per-series windows hold one series' dates.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -52,8 +53,13 @@ def attach_benchmark(cum: DataFrame, port: str = S.BENCHMARK_PORT) -> DataFrame:
 
 
 def report(long: DataFrame) -> DataFrame:
-    """Report table: Portret in percent, cumret, Portrank, MKT_cumret."""
-    cum = cumulative_index(long)
+    """Report table: Portret in percent, cumret, Portrank, MKT_cumret.
+
+    The cumulative table (one row per date and series, bounded by the
+    calendar) feeds three branches - rows, final ranks, benchmark - so it is
+    persisted once instead of re-running the factor pipeline per branch.
+    """
+    cum = cumulative_index(long).persist(StorageLevel.MEMORY_AND_DISK)
     ranks = final_rank(cum)
     out = attach_benchmark(cum).join(ranks, "Port", "left")
     return out.select("ret_date", "Port", (F.col("Portret") * 100).alias("Portret"),

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.stats import bucket_frames, qbuckets
+from ..functions.stats import DEFAULT_METHOD, bucket_frames, qbuckets
 from ..operators.calendars import with_momentum_months, with_rebalance_year
 from ..operators.market import index_return, market_premium, risk_free
 from ..operators.portfolios import (attach_groups, factor_spreads, momentum_spread, to_wide,
@@ -89,7 +89,7 @@ def fundamentals(inp: FactorInputs, pattern: str = S.FINANCIAL_INDUSTRY,
 
 
 def year_groups(inp: FactorInputs, pattern: str = S.FINANCIAL_INDUSTRY,
-                method: str = "edges") -> DataFrame:
+                method: str | None = None) -> DataFrame:
     """Per year and stock: December cap and the four independent sorts."""
     chars = characteristics(fundamentals(inp, pattern))
     specs = [
@@ -116,7 +116,7 @@ def market_series(inp: FactorInputs, freq: str) -> DataFrame:
 
 def five_factor(inp: FactorInputs, freq: str, bounds: YearlyBounds = YearlyBounds(),
                 until: str | None = S.FACTOR_UNTIL, pattern: str = S.FINANCIAL_INDUSTRY,
-                method: str = "edges", groups: DataFrame | None = None) -> dict[str, DataFrame]:
+                method: str | None = None, groups: DataFrame | None = None) -> dict[str, DataFrame]:
     """Five-factor table (U23): 18 portfolios, HML RMW CMA SMB3 SMB5, MKTPR."""
     _check_freq(freq)
     if groups is None:
@@ -131,7 +131,7 @@ def five_factor(inp: FactorInputs, freq: str, bounds: YearlyBounds = YearlyBound
     return {"wide": wide, "long": to_long(wide)}
 
 
-def momentum_groups(inp: FactorInputs, method: str = "edges") -> DataFrame:
+def momentum_groups(inp: FactorInputs, method: str | None = None) -> DataFrame:
     """Per stock and momentum month: momentum tercile and the previous month's size half.
 
     Both sorts are formed over their own full cross-section first (momentum
@@ -142,7 +142,7 @@ def momentum_groups(inp: FactorInputs, method: str = "edges") -> DataFrame:
     mom_specs = [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")]
     cap_specs = [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")]
     mom, caps = momentum(inp.monthret), month_end_cap(inp.marketcap)
-    if method == "edges":
+    if (method or DEFAULT_METHOD) == "edges":
         mom, caps = bucket_frames([(mom, ["mom_month"], mom_specs), (caps, ["mc_month"], cap_specs)])
     else:
         mom = qbuckets(mom, ["mom_month"], mom_specs, method=method)
@@ -153,7 +153,7 @@ def momentum_groups(inp: FactorInputs, method: str = "edges") -> DataFrame:
 
 
 def momentum_factor_table(inp: FactorInputs, freq: str, bounds: MomentumBounds = MomentumBounds(),
-                          method: str = "edges", groups: DataFrame | None = None) -> dict[str, DataFrame]:
+                          method: str | None = None, groups: DataFrame | None = None) -> dict[str, DataFrame]:
     """Momentum table (U24): six size x momentum portfolios and UMD."""
     _check_freq(freq)
     if groups is None:

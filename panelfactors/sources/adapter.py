@@ -83,11 +83,9 @@ class FinanceTables:
         daily sums gives the same double as rounding the sum of the lines,
         because each exact sum has at most 2 (or 4) decimals.
 
-        Each branch of a query prunes a different set of these sums, which
-        would defeat exchange reuse and rescan lineitem once per branch, so
-        the table is persisted (memory and disk; lost blocks are recomputed
-        from lineage).  At cluster scale this adapter is a one-off job whose
-        output is written as parquet and read by the factor runs.
+        Queries do not read these lazily-derived tables directly: the shared
+        adapter (:func:`finance_tables`) writes them once as parquet tables
+        and the factor runs scan those files.
         """
         def build():
             unit = F.col("ep") / F.col("qty")
@@ -101,7 +99,7 @@ class FinanceTables:
                 F.max(unit).alias("unit_max"),
                 F.min(unit).alias("unit_min"),
                 F.count(F.lit(1)).alias("lines"),
-            ).persist(StorageLevel.MEMORY_AND_DISK)
+            )
         return self._memo("daily", build)
 
     def marketcap(self) -> DataFrame:
@@ -164,7 +162,7 @@ class FinanceTables:
             return o.groupBy(F.to_date("o_orderdate").alias("date")).agg(
                 (F.round(F.sum("o_totalprice"), 2) / F.count(F.lit(1))).alias("price"),
                 F.avg(y).alias("close"),
-            ).persist(StorageLevel.MEMORY_AND_DISK)
+            )
         return self._memo("orders_daily", build)
 
     def taiex(self) -> DataFrame:
@@ -218,5 +216,67 @@ class FinanceTables:
         return self._adjprice().filter(F.col("date") >= F.lit(EXTRACT_NEW_FROM).cast("date"))
 
 
-def finance_tables(spark: SparkSession, sf_dir: str) -> FinanceTables:
-    return FinanceTables(spark, sf_dir)
+TABLES = ["marketcap", "monthret", "dayret", "balancesheet", "incomestatement", "taiex", "bond_yield",
+          "listing_tse", "listing_otc", "delisted", "adjprice_old", "adjprice_new"]
+
+
+class StoredFinanceTables:
+    """Finance tables written once as parquet in the shared checkpoint folder.
+
+    The adapter is an ETL step: each table is written (the daily aggregates
+    they share are kept only for the duration of the write), and every factor
+    query afterwards scans the files - as the reference's runs read stored
+    finance tables.  Files in the shared folder survive executor loss and cut
+    the lineage back to the driver tables.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, path: str):
+        self.spark, self.sf_dir, self.path = spark, sf_dir, path
+        self._cache: dict = {}
+
+    def write(self) -> "StoredFinanceTables":
+        lazy = FinanceTables(self.spark, self.sf_dir)
+        daily, orders = lazy._daily().persist(StorageLevel.MEMORY_AND_DISK), \
+            lazy._orders_daily().persist(StorageLevel.MEMORY_AND_DISK)
+        lazy._cache["daily"], lazy._cache["orders_daily"] = daily, orders
+        try:
+            for name in TABLES:
+                getattr(lazy, name)().write.mode("overwrite").parquet(f"{self.path}/{name}")
+        finally:
+            daily.unpersist()
+            orders.unpersist()
+        return self
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = self.spark.read.parquet(f"{self.path}/{name}")
+        return self._cache[name]
+
+    def __getattr__(self, name):
+        if name in TABLES:
+            return lambda: self._table(name)
+        raise AttributeError(name)
+
+
+_SHARED: dict[tuple, StoredFinanceTables] = {}
+
+
+def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
+    """The finance tables of one data folder.
+
+    ``shared`` (default): written once per session and folder into the shared
+    checkpoint folder, then read as parquet by every query.  ``shared=False``:
+    the lazy derivation, recomputed inside each plan.
+    """
+    if not shared:
+        return FinanceTables(spark, sf_dir)
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _SHARED:
+        _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
+    return _SHARED[key]
+
+
+def materialize(tables) -> None:
+    """Nothing left to do for stored tables (written on creation)."""
+    return None
