@@ -233,11 +233,8 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
     long = longs[0]
     for other in longs[1:]:
         long = long.unionByName(other)
-    # the stacked values feed three passes; keep them (stock-period grain:
-    # small next to the return panel) instead of recomputing their lineage
     long = (long.select(*gcols, F.col("_s._key").alias("_key"), F.col("_s._v").alias("_v"))
-            .filter(F.col("_v").isNotNull())
-            .persist(StorageLevel.MEMORY_AND_DISK))
+            .filter(F.col("_v").isNotNull()))
     targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in all_cuts]
     picked = _select_rows(long, gcols + ["_key"], targets)
     aggs = []

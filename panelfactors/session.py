@@ -36,16 +36,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session has none (local tests) is a private folder set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="panelfactors-ckpt-", dir="/tmp"))
-    return sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local context
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="panelfactors-ckpt-", dir="/tmp"))
+        return sc.getCheckpointDir()
+    if not conf_dir:
+        conf_dir = tempfile.mkdtemp(prefix="panelfactors-ckpt-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", conf_dir)
+    return conf_dir
+
+
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session (for per-session shared tables)."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        app = spark.conf.get("spark.app.id", "app")
+    return (app, id(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

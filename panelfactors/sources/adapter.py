@@ -270,8 +270,8 @@ def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
     """
     if not shared:
         return FinanceTables(spark, sf_dir)
-    from ..session import scratch_path
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    from ..session import scratch_path, session_key
+    key = (*session_key(spark), sf_dir.rstrip("/"))
     if key not in _SHARED:
         _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
     return _SHARED[key]
