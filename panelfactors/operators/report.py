@@ -6,11 +6,11 @@ per-series windows hold one series' dates.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import ensure_checkpoint_dir
 
 
 def to_long(wide: DataFrame, id_col: str = "ret_date") -> DataFrame:
@@ -57,9 +57,11 @@ def report(long: DataFrame) -> DataFrame:
 
     The cumulative table (one row per date and series, bounded by the
     calendar) feeds three branches - rows, final ranks, benchmark - so it is
-    persisted once instead of re-running the factor pipeline per branch.
+    checkpointed once to the shared checkpoint folder (reliable, cuts the
+    lineage) instead of re-running the factor pipeline per branch.
     """
-    cum = cumulative_index(long).persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(long.sparkSession)
+    cum = cumulative_index(long).checkpoint(eager=True)
     ranks = final_rank(cum)
     out = attach_benchmark(cum).join(ranks, "Port", "left")
     return out.select("ret_date", "Port", (F.col("Portret") * 100).alias("Portret"),

@@ -11,6 +11,7 @@ summation order.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -259,6 +260,7 @@ class StoredFinanceTables:
 
 
 _SHARED: dict[tuple, StoredFinanceTables] = {}
+_SHARED_LOCK = threading.Lock()
 
 
 def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
@@ -272,9 +274,10 @@ def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
         return FinanceTables(spark, sf_dir)
     from ..session import scratch_path, session_key
     key = (*session_key(spark), sf_dir.rstrip("/"))
-    if key not in _SHARED:
-        _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
-    return _SHARED[key]
+    with _SHARED_LOCK:
+        if key not in _SHARED:
+            _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
+        return _SHARED[key]
 
 
 def materialize(tables) -> None:
