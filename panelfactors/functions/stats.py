@@ -24,7 +24,6 @@ from __future__ import annotations
 import os
 from fractions import Fraction
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,9 +60,9 @@ def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, call
     0-based sorted position wanted in a group of n values and ``hint`` is the
     fraction of n it sits near.
 
-    The per-group tables joined back to ``base`` hold one row per group.
-    Callers group by calendar periods (years, months), so their size is bounded
-    by the calendar, not by the data, and they are broadcast.
+    The per-group tables joined back to ``base`` hold one row per group.  No
+    broadcast is forced: AQE measures them at runtime and broadcasts them when
+    small (calendar periods), and keeps a shuffled join for many groups.
     """
     pcts = sorted({min(1.0, max(0.0, h + s * w)) for _, _, h in targets for w in _WIDTHS for s in (-1, 1)})
     pidx = {p: i for i, p in enumerate(pcts)}
@@ -90,7 +89,7 @@ def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, call
         for wi in range(len(_WIDTHS)):
             aggs.append(F.count_if(v < F.col(f"_lo{ti}_{wi}")).alias(f"_lt{ti}_{wi}"))
             aggs.append(F.count_if(v <= F.col(f"_hi{ti}_{wi}")).alias(f"_le{ti}_{wi}"))
-    counts = base.join(F.broadcast(stats), keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
+    counts = base.join(stats, keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
 
     # narrowest verified bracket; none verified -> the whole group (small groups)
     sel = [*keys, "_n"]
@@ -118,7 +117,7 @@ def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, call
         cond = (blo.isNull() | (v >= blo)) & (bhi.isNull() | (v <= bhi))
         inside.append(F.when(cond, F.lit(ti)))
     cand = (
-        base.join(F.broadcast(brackets), keys)
+        base.join(brackets, keys)
         .withColumn("_t", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())))
         .withColumn("_pos", F.element_at(F.array(*[F.col(f"_pos{ti}") for ti in range(len(targets))]),
                                          F.col("_t") + 1))
@@ -130,15 +129,6 @@ def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, call
             .select(*keys, "_n", "_t", "_v"))
 
 
-def order_statistics(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
-    """Exact order statistics per group: ``keys, _n`` and one column per target name."""
-    picked = _select_rows(base, keys, targets)
-    return picked.groupBy(*keys, "_n").agg(*[
-        F.first(F.when(F.col("_t") == ti, F.col("_v")), ignorenulls=True).alias(name)
-        for ti, (name, _, _) in enumerate(targets)
-    ])
-
-
 def _stack(df: DataFrame, by: list[str], columns: dict[str, object]) -> DataFrame:
     """(by..., _key, _v) rows for every non-null value of the named columns."""
     structs = [F.struct(F.lit(k).alias("_key"), _col(c).cast("double").alias("_v")) for k, c in columns.items()]
@@ -149,24 +139,6 @@ def _stack(df: DataFrame, by: list[str], columns: dict[str, object]) -> DataFram
     )
 
 
-def quantile_edges(df: DataFrame, by: list[str], columns: dict[str, object], cuts) -> DataFrame:
-    """Per group and column, the order statistic ``s[floor((n-1)*q)]`` for each inner cut q.
-
-    Output: ``by..., {name}__n, {name}__{a}_{b}`` (q = a/b).
-    """
-    fracs = sorted({f for f in exact_cuts(cuts) if 0 < f < 1})
-    targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in fracs]
-    picked = _select_rows(_stack(df, by, columns), by + ["_key"], targets)
-    aggs = []
-    for name in columns:
-        is_name = F.col("_key") == name
-        aggs.append(F.first(F.when(is_name, F.col("_n")), ignorenulls=True).alias(f"{name}__n"))
-        for ti, f in enumerate(fracs):
-            aggs.append(F.first(F.when(is_name & (F.col("_t") == ti), F.col("_v")), ignorenulls=True)
-                        .alias(f"{name}__{_frac_name(f)}"))
-    return picked.groupBy(*by).agg(*aggs)
-
-
 def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs) -> DataFrame:
     """Linearly interpolated percentiles (the ``quantile_cont`` definition), exact.
 
@@ -245,8 +217,8 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
                     ti = all_cuts.index(f)
                     aggs.append(F.first(F.when((F.col("_key") == name) & (F.col("_t") == ti), F.col("_v")),
                                         ignorenulls=True).alias(f"{name}__{_frac_name(f)}"))
-    # one row per group (calendar period): bounded by the calendar, broadcast
-    edges = F.broadcast(picked.groupBy(*gcols).agg(*aggs))
+    # one row per group; AQE broadcasts it at runtime when small (periods)
+    edges = picked.groupBy(*gcols).agg(*aggs)
 
     outs = []
     for df, by, specs in frames:
