@@ -62,14 +62,19 @@ def annual_balance(balancesheet: DataFrame) -> DataFrame:
             .filter((F.col("Equity") > 0) & (F.month("year") == 12)))
 
 
-def annual_operating_profit(incomestatement: DataFrame) -> DataFrame:
+def annual_operating_profit(incomestatement: DataFrame, with_quarters: bool = False) -> DataFrame:
     """Revenue - cost of goods sold - operating expenses, summed per year (U4).
 
-    Only quarters with all three items count; no check that four are present.
+    Only quarters with all three items count; like the reference there is no
+    check that four are present - ``with_quarters=True`` adds ``n_quarters``
+    so a caller can apply one.
     """
     wide = widen_statement(incomestatement, S.INCOME_ITEMS).na.drop(subset=S.INCOME_ITEMS)
     op = F.col("Revenue") - F.col("CostOfGoodsSold") - F.col("OperatingExpenses")
-    return wide.groupBy("stock_id", year_key("date").alias("year")).agg(F.sum(op).alias("yOP"))
+    aggs = [F.sum(op).alias("yOP")]
+    if with_quarters:
+        aggs.append(F.count(F.lit(1)).alias("n_quarters"))
+    return wide.groupBy("stock_id", year_key("date").alias("year")).agg(*aggs)
 
 
 def assemble_fundamentals(balance: DataFrame, caps: DataFrame, profit: DataFrame) -> DataFrame:

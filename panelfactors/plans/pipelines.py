@@ -131,17 +131,24 @@ def five_factor(inp: FactorInputs, freq: str, bounds: YearlyBounds = YearlyBound
     return {"wide": wide, "long": to_long(wide)}
 
 
-def momentum_groups(inp: FactorInputs, method: str | None = None) -> DataFrame:
+def momentum_groups(inp: FactorInputs, method: str | None = None,
+                    exclude_pattern: str | None = None) -> DataFrame:
     """Per stock and momentum month: momentum tercile and the previous month's size half.
 
     Both sorts are formed over their own full cross-section first (momentum
     over all stocks with a signal, size over all stocks with a cap) and only
     then joined, so the return panel meets a single group table.  With the
     edges method both sorts share one selection pass.
+
+    Like the reference's code (not its prose), financial companies stay in the
+    momentum sorts; ``exclude_pattern`` drops them before sorting.
     """
     mom_specs = [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")]
     cap_specs = [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")]
     mom, caps = momentum(inp.monthret), month_end_cap(inp.marketcap)
+    if exclude_pattern is not None:
+        mom = exclude_industry(mom, inp.listings, exclude_pattern)
+        caps = exclude_industry(caps, inp.listings, exclude_pattern)
     if (method or DEFAULT_METHOD) == "edges":
         mom, caps = bucket_frames([(mom, ["mom_month"], mom_specs), (caps, ["mc_month"], cap_specs)])
     else:
@@ -153,11 +160,12 @@ def momentum_groups(inp: FactorInputs, method: str | None = None) -> DataFrame:
 
 
 def momentum_factor_table(inp: FactorInputs, freq: str, bounds: MomentumBounds = MomentumBounds(),
-                          method: str | None = None, groups: DataFrame | None = None) -> dict[str, DataFrame]:
+                          method: str | None = None, groups: DataFrame | None = None,
+                          exclude_pattern: str | None = None) -> dict[str, DataFrame]:
     """Momentum table (U24): six size x momentum portfolios and UMD."""
     _check_freq(freq)
     if groups is None:
-        groups = momentum_groups(inp, method)
+        groups = momentum_groups(inp, method, exclude_pattern)
     ret = with_momentum_months(returns(inp, freq), "ret_date", **bounds.kwargs()).drop("mc_month")
     panel = attach_groups(ret, groups.drop("mc_month"), ["stock_id", "mom_month"])
     long = vw_return(panel, "g_size", ["g_mom"], S.MOMENTUM_SEP)

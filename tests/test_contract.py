@@ -73,3 +73,12 @@ def test_freq_guard(spark):
         P.five_factor(inp, "week")
     with pytest.raises(ValueError):
         P.momentum_factor_table(inp, "year")
+
+
+def test_momentum_exclusion_option_drops_financials(spark):
+    inp = inputs(spark, SF_SMALL)
+    fin = {r.stock_id for r in inp.listings[0].unionByName(inp.listings[1]).filter("industry = 'FIN'").collect()}
+    assert fin
+    g = P.momentum_groups(inp, exclude_pattern=PATTERN)
+    assert g.filter(F.col("stock_id").isin(list(fin))).count() == 0
+    assert P.momentum_groups(inp).filter(F.col("stock_id").isin(list(fin))).count() > 0

@@ -31,6 +31,12 @@ def test_widen_keeps_missing_items_null(spark):
     row = snapshots.widen_statement(inc, S.INCOME_ITEMS).collect()[0]
     assert row.Revenue == 10.0 and row.OperatingExpenses is None
     assert snapshots.annual_operating_profit(inc).count() == 0  # incomplete quarter skipped
+    full = inc.unionByName(_stmt(spark, [(D(2012, 3, 31), "1", "OperatingExpenses", 1.0, None),
+                                         (D(2012, 6, 30), "1", "Revenue", 7.0, None),
+                                         (D(2012, 6, 30), "1", "CostOfGoodsSold", 2.0, None),
+                                         (D(2012, 6, 30), "1", "OperatingExpenses", 1.0, None)]))
+    y = snapshots.annual_operating_profit(full, with_quarters=True).first()
+    assert (y.yOP, y.n_quarters) == (9.0, 2)
 
 
 def test_annual_balance_only_december_positive_equity(spark):
