@@ -52,13 +52,14 @@ def _floor_pos(n: Column, f: Fraction) -> Column:
     return ((x - x % d) / d).cast("long")
 
 
-def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
-    """Rows holding each target order statistic: ``keys..., _n, _t, _v`` (one per group and target).
+def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
+    """Rows that can hold a target order statistic: ``keys..., _n, _t, _pos, _v``.
 
     ``base`` has the group columns ``keys`` and a non-null double ``_v``.
     ``targets`` are ``(name, position_fn, hint)``: ``position_fn(n)`` gives the
     0-based sorted position wanted in a group of n values and ``hint`` is the
-    fraction of n it sits near.
+    fraction of n it sits near.  ``_pos`` is the target's position among the
+    group's candidates for target ``_t``.
 
     The per-group tables joined back to ``base`` hold one row per group.  No
     broadcast is forced: AQE measures them at runtime and broadcasts them when
@@ -116,13 +117,21 @@ def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, call
         blo, bhi = F.col(f"_blo{ti}"), F.col(f"_bhi{ti}")
         cond = (blo.isNull() | (v >= blo)) & (bhi.isNull() | (v <= bhi))
         inside.append(F.when(cond, F.lit(ti)))
-    cand = (
+    return (
         base.join(brackets, keys)
         .withColumn("_t", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())))
         .withColumn("_pos", F.element_at(F.array(*[F.col(f"_pos{ti}") for ti in range(len(targets))]),
                                          F.col("_t") + 1))
         .select(*keys, "_n", "_t", "_pos", "_v")
     )
+
+
+def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
+    """Rows holding each target order statistic: ``keys..., _n, _t, _v`` (one per group and target).
+
+    Only the bracket candidates are sorted, per (group, target).
+    """
+    cand = _candidates(base, keys, targets)
     w = Window.partitionBy(*keys, "_t").orderBy("_v")
     return (cand.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") - 1 == F.col("_pos"))

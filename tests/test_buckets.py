@@ -99,3 +99,25 @@ def test_large_group_uses_bracket_and_stays_exact(spark):
     # values are a permutation of 0..n-1: edges at positions floor((n-1)*.3) and floor((n-1)*.7)
     k1, k2 = (n - 1) * 3 // 10, (n - 1) * 7 // 10
     assert [r["count"] for r in a] == [k1 + 1, k2 - k1, n - 1 - k2]
+
+
+def test_hot_period_sorts_only_a_bracket(spark):
+    """One period holds a third of all rows: only a small bracket of it reaches the sort."""
+    from panelfactors.functions.stats import _candidates, _floor_pos
+    from fractions import Fraction
+    hot_n, cold = 60000, 40
+    hot = spark.range(hot_n).select(F.lit(0).alias("_g0"), F.lit("x").alias("_key"),
+                                    ((F.col("id") * 7919) % hot_n).cast("double").alias("_v"))
+    rest = spark.range(2 * hot_n).select((F.col("id") % cold + 1).cast("int").alias("_g0"), F.lit("x").alias("_key"),
+                                         F.rand(11).alias("_v"))
+    base = hot.unionByName(rest)
+    targets = [(f"e{f}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in (Fraction(3, 10), Fraction(7, 10))]
+    cand = _candidates(base, ["_g0", "_key"], targets)
+    per = {r["_g0"]: r["count"] for r in cand.groupBy("_g0").count().collect()}
+    assert per[0] < 0.01 * hot_n  # bracket rows of the hot period, both targets together
+    # and the labels still equal the rank rule
+    df = base.withColumnRenamed("_g0", "g")
+    a = qbucket(df, "g", "_v", S.TERCILE_CUTS, S.BM_LABELS, "b", method="edges").filter("g = 0")
+    counts = {r.b: r["count"] for r in a.groupBy("b").count().collect()}
+    k1, k2 = (hot_n - 1) * 3 // 10, (hot_n - 1) * 7 // 10
+    assert counts == {"bm1": k1 + 1, "bm2": k2 - k1, "bm3": hot_n - 1 - k2}
