@@ -20,10 +20,11 @@ def exclude_industry(df: DataFrame, listings: list[DataFrame], pattern: str) ->
     """Drop rows of companies whose industry contains ``pattern``.
 
     A left-anti join: rows with a NULL code stay, as with a negated membership
-    test.  The code list is one row per listed company; the runtime planner
+    test, and a code listed twice changes nothing (so no distinct shuffle).
+    The code list is one row per listed company; the runtime planner
     broadcasts it when its measured size allows, else it is a shuffled join.
     """
-    codes = excluded_codes(listings, pattern).distinct()
+    codes = excluded_codes(listings, pattern)
     return df.join(codes, "stock_id", "left_anti")
 
 

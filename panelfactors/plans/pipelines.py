@@ -177,3 +177,27 @@ def six_factor(five_wide: DataFrame, umd_wide: DataFrame) -> dict[str, DataFrame
     """Five-factor and momentum tables on common dates (U25), wide and long."""
     wide = five_wide.join(umd_wide, "ret_date", "inner")
     return {"wide": wide, "long": to_long(wide)}
+
+
+def factor_tables(inp: FactorInputs, bounds: YearlyBounds = YearlyBounds(),
+                  mom_bounds: MomentumBounds = MomentumBounds(), until: str | None = S.FACTOR_UNTIL,
+                  pattern: str = S.FINANCIAL_INDUSTRY, method: str | None = None) -> dict[str, DataFrame]:
+    """Monthly and daily five-factor and momentum tables plus the six-factor table.
+
+    The sort groups (stock-year and stock-month grain) are built once and
+    checkpointed to the shared checkpoint folder, then reused by both
+    frequencies - the reference rebuilds them for every frequency.
+    """
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(inp.marketcap.sparkSession)
+    ygroups = year_groups(inp, pattern, method).checkpoint(eager=True)
+    mgroups = momentum_groups(inp, method).checkpoint(eager=True)
+    out = {}
+    for freq in ("month", "day"):
+        five = five_factor(inp, freq, bounds, until, pattern, method, groups=ygroups)
+        umd = momentum_factor_table(inp, freq, mom_bounds, method, groups=mgroups)
+        out[f"five_factor_{freq}"] = five["wide"]
+        out[f"umd_{freq}"] = umd["wide"]
+    six = six_factor(out["five_factor_month"], out["umd_month"])
+    out["six_factor_wide"], out["six_factor_long"] = six["wide"], six["long"]
+    return out

@@ -82,3 +82,15 @@ def test_momentum_exclusion_option_drops_financials(spark):
     g = P.momentum_groups(inp, exclude_pattern=PATTERN)
     assert g.filter(F.col("stock_id").isin(list(fin))).count() == 0
     assert P.momentum_groups(inp).filter(F.col("stock_id").isin(list(fin))).count() > 0
+
+
+def test_factor_tables_share_groups_and_match_single_runs(spark):
+    sf = "/root/testdata/sf0.01"
+    inp = inputs(spark, sf)
+    allt = P.factor_tables(inp, DATA_BOUNDS, pattern=PATTERN)
+    one = P.momentum_factor_table(inputs(spark, sf), "day")["wide"]
+    a = {tuple(r) for r in allt["umd_day"].collect()}
+    b = {tuple(r) for r in one.collect()}
+    assert a == b and len(a) > 0
+    five = P.five_factor(inputs(spark, sf), "month", DATA_BOUNDS, pattern=PATTERN)["wide"]
+    assert allt["five_factor_month"].exceptAll(five).count() == 0
