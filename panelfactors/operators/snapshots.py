@@ -14,9 +14,12 @@ def period_last(df: DataFrame, keys: list[str], period: Column, period_name: str
     """Last ``value`` per entity and period by ``order``.
 
     ``max_by`` is an ordinary aggregate, so it combines map-side before the
-    shuffle; a NULL value at the last date stays NULL.
+    shuffle; a NULL value at the last date stays NULL.  Ordering by
+    ``(order, value)`` makes a repeated last date deterministic (the larger
+    value wins) and changes nothing when dates are unique.
     """
-    return df.groupBy(*keys, period.alias(period_name)).agg(F.max_by(value, order).alias(alias))
+    return df.groupBy(*keys, period.alias(period_name)).agg(
+        F.max_by(value, F.struct(F.col(order), F.col(value))).alias(alias))
 
 
 def year_end_cap(marketcap: DataFrame) -> DataFrame:
