@@ -217,6 +217,8 @@ class FinanceTables:
         return self._adjprice().filter(F.col("date") >= F.lit(EXTRACT_NEW_FROM).cast("date"))
 
 
+ROWS_PER_FILE = 2_000_000
+
 TABLES = ["marketcap", "monthret", "dayret", "balancesheet", "incomestatement", "taiex", "bond_yield",
           "listing_tse", "listing_otc", "delisted", "adjprice_old", "adjprice_new"]
 
@@ -240,9 +242,17 @@ class StoredFinanceTables:
         daily, orders = lazy._daily().persist(StorageLevel.MEMORY_AND_DISK), \
             lazy._orders_daily().persist(StorageLevel.MEMORY_AND_DISK)
         lazy._cache["daily"], lazy._cache["orders_daily"] = daily, orders
+        # file count from the data, not from the session's shuffle partitions:
+        # at least one file per core, about ROWS_PER_FILE rows per file at most
+        try:
+            parallel = self.spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001
+            parallel = 8
+        files = max(parallel, -(-daily.count() // ROWS_PER_FILE))
         try:
             for name in TABLES:
-                getattr(lazy, name)().write.mode("overwrite").parquet(f"{self.path}/{name}")
+                # coalesce only merges partitions (no shuffle) and never adds any
+                getattr(lazy, name)().coalesce(files).write.mode("overwrite").parquet(f"{self.path}/{name}")
         finally:
             daily.unpersist()
             orders.unpersist()
