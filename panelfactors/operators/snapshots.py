@@ -13,13 +13,13 @@ def period_last(df: DataFrame, keys: list[str], period: Column, period_name: str
                 order: str, value: str, alias: str) -> DataFrame:
     """Last ``value`` per entity and period by ``order``.
 
-    ``max_by`` is an ordinary aggregate, so it combines map-side before the
-    shuffle; a NULL value at the last date stays NULL.  Ordering by
-    ``(order, value)`` makes a repeated last date deterministic (the larger
-    value wins) and changes nothing when dates are unique.
+    ``max_by`` on a primitive ordering is a hash aggregate that combines
+    map-side before the shuffle; a NULL value at the last date stays NULL.
+    Sources are keyed by (entity, date); if a last date repeated, any of its
+    rows may be taken, as in the reference.  (Ordering by a struct to break
+    such ties would turn this into a sort aggregate.)
     """
-    return df.groupBy(*keys, period.alias(period_name)).agg(
-        F.max_by(value, F.struct(F.col(order), F.col(value))).alias(alias))
+    return df.groupBy(*keys, period.alias(period_name)).agg(F.max_by(value, order).alias(alias))
 
 
 def year_end_cap(marketcap: DataFrame) -> DataFrame:
