@@ -28,6 +28,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import exact_cuts
+from ..session import ensure_checkpoint_dir
+
+# write the stacked sort values once before the selection passes
+CHECKPOINT_STACK = os.environ.get("PANELFACTORS_CHECKPOINT_STACK", "1") == "1"
 
 # default physical strategy for quantile buckets ("edges" or "window")
 DEFAULT_METHOD = os.environ.get("PANELFACTORS_BUCKET_METHOD", "edges")
@@ -216,6 +220,12 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
         long = long.unionByName(other)
     long = (long.select(*gcols, F.col("_s._key").alias("_key"), F.col("_s._v").alias("_v"))
             .filter(F.col("_v").isNotNull()))
+    if CHECKPOINT_STACK:
+        # the stacked values feed three passes and the join back; write them once
+        # to the shared checkpoint folder (stock-period grain) so the snapshot
+        # lineage is not recomputed per pass
+        ensure_checkpoint_dir(long.sparkSession)
+        long = long.checkpoint(eager=True)
     targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in all_cuts]
     picked = _select_rows(long, gcols + ["_key"], targets)
     aggs = []
