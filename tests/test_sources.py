@@ -93,3 +93,15 @@ def test_streaming_landing_newest_epoch_wins(spark, tmp_dir):
     start_landing(spark, src, S.STATEMENT, table, ckpt).awaitTermination(120)
     rows = read_landed(spark, table, ["date", "stock_id", "type"]).collect()
     assert [r.value for r in rows] == [2.0]
+
+
+def test_parquet_sink_partitioned_by_year_prunes(spark, tmp_dir):
+    from panelfactors.sources.sinks import read_year_range, write_parquet_by_year
+    df = spark.createDataFrame([(D(2000 + y, 1, 1), "HML", 0.01 * y) for y in range(5)],
+                               "ret_date date, Port string, Portret double")
+    path = os.path.join(tmp_dir, "factors")
+    write_parquet_by_year(df, path)
+    back = read_year_range(spark, path, 2001, 2002)
+    assert sorted(r.ret_date.year for r in back.collect()) == [2001, 2002]
+    plan = back._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "year" in plan
