@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from .. import schemas as S
 
-R = 6  # rounding digits, as in the Spark queries
+R = 6  # rounding digits, as in the Spark queries; "+ 0.0" turns a rounded -0.0 into 0.0
 
 RET_START, RET_END = "1996-07-01", "2001-11-30"
 GROUP_START, GROUP_END = "1995-12-01", "2000-12-01"
@@ -264,7 +264,7 @@ WHERE Port IN ({', '.join(repr(f) for f in S.CHART_FACTORS)})""")
 
 
 def _round_cols(cols: dict[str, bool]) -> str:
-    return ", ".join(f"round({c}, {R}) AS {c}" if dbl else c for c, dbl in cols.items())
+    return ", ".join(f"round({c}, {R}) + 0.0 AS {c}" if dbl else c for c, dbl in cols.items())
 
 
 def _rounded_select(src: str, cols: list[str], doubles: set[str]) -> str:
@@ -315,14 +315,14 @@ SQL: dict[str, str] = {
     "momentum": build(_rounded_select("mom", ["stock_id", "mom_month", "mom"], {"mom"}), ["mom"]),
     "bucket_size": build(f"SELECT year, stock_id, MC, {_bucket('MC', 'year', S.SIZE_CUTS, S.SIZE_LABELS)} "
                          f"AS g_size FROM chars", ["chars"]),
-    "bucket_bm": build(f"SELECT year, stock_id, round(BMratio, {R}) AS BMratio, "
+    "bucket_bm": build(f"SELECT year, stock_id, round(BMratio, {R}) + 0.0 AS BMratio, "
                        f"{_bucket('BMratio', 'year', S.TERCILE_CUTS, S.BM_LABELS)} AS g_bm FROM chars",
                        ["chars"]),
     "bucket_mom": build(_rounded_select("mom_g", ["stock_id", "mom_month", "mom", "g_mom"], {"mom"}), ["mom_g"]),
     "bucket_edges": build(f"""
-SELECT year, count(BMratio) AS n, round(quantile_cont(BMratio, 0.3), {R}) AS bm_p30,
-       round(quantile_cont(BMratio, 0.7), {R}) AS bm_p70,
-       round(quantile_cont(CAST(MC AS DOUBLE), 0.5), {R}) AS mc_p50
+SELECT year, count(BMratio) AS n, round(quantile_cont(BMratio, 0.3), {R}) + 0.0 AS bm_p30,
+       round(quantile_cont(BMratio, 0.7), {R}) + 0.0 AS bm_p70,
+       round(quantile_cont(CAST(MC AS DOUBLE), 0.5), {R}) + 0.0 AS mc_p50
 FROM chars GROUP BY year""", ["chars"]),
     "year_groups": build("SELECT year, stock_id, MC, g_size, g_bm, g_op, g_inv FROM yg", ["yg"]),
     "rebalance_calendar": build(f"""
@@ -337,19 +337,19 @@ FROM dayret WHERE date BETWEEN DATE '{MOM_START}' AND DATE '{MOM_END}'""", ["day
         "ypanel_m", ["stock_id", "ret_date", "ret", "year", "MC", "g_size", "g_bm", "g_op", "g_inv"], {"ret"}),
         ["ypanel_m"]),
     **{f"vw_{k}": build(f"""
-SELECT ret_date, g_size || g_{k} AS Port, round(sum(MC * ret) / sum(MC), {R}) AS Portret
+SELECT ret_date, g_size || g_{k} AS Port, round(sum(MC * ret) / sum(MC), {R}) + 0.0 AS Portret
 FROM ypanel_m GROUP BY ret_date, g_size, g_{k}""", ["ypanel_m"]) for k in ("bm", "op", "inv")},
-    "vw_all": build(f"SELECT ret_date, Port, round(Portret, {R}) AS Portret FROM vwall_m", ["vwall_m"]),
-    "vw_mom": build(f"SELECT ret_date, Port, round(Portret, {R}) AS Portret FROM vwmom_m", ["vwmom_m"]),
+    "vw_all": build(f"SELECT ret_date, Port, round(Portret, {R}) + 0.0 AS Portret FROM vwall_m", ["vwall_m"]),
+    "vw_mom": build(f"SELECT ret_date, Port, round(Portret, {R}) + 0.0 AS Portret FROM vwmom_m", ["vwmom_m"]),
     "vw_weights": build(f"""
-SELECT ret_date, stock_id, g_size, g_bm, MC, round(ret, {R}) AS ret,
-       round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm), {R}) AS weight,
-       round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm) * ret, {R}) AS weight_ret
+SELECT ret_date, stock_id, g_size, g_bm, MC, round(ret, {R}) + 0.0 AS ret,
+       round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm), {R}) + 0.0 AS weight,
+       round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm) * ret, {R}) + 0.0 AS weight_ret
 FROM ypanel_m""", ["ypanel_m"]),
     "portfolios_wide": build(_all_rounded(f"({_wide('vwall_m', S.FF_PORTS)})", ["ret_date", *S.FF_PORTS]),
                              ["vwall_m"]),
     "five_factors": build(_all_rounded("ff5_m", ["ret_date", *S.FF_PORTS, *S.FF_FACTORS]), ["ff5_m"]),
-    "umd": build(f"SELECT ret_date, round(UMD, {R}) AS UMD FROM umdw_m", ["umdw_m"]),
+    "umd": build(f"SELECT ret_date, round(UMD, {R}) + 0.0 AS UMD FROM umdw_m", ["umdw_m"]),
     "index_ret_month": build(_all_rounded("idx_m", ["ret_date", "ret"]), ["idx_m"]),
     "index_ret_day": build(_all_rounded("idx_d", ["ret_date", "ret"]), ["idx_d"]),
     "rf_month": build(_all_rounded("rf_m", ["ret_date", "RFrate"]), ["rf_m"]),
@@ -365,10 +365,10 @@ FROM ypanel_m""", ["ypanel_m"]),
                              ["six_long"]),
     "cumret": build(_rounded_select("cum", ["ret_date", "Port", "Portret", "cumret"], {"Portret", "cumret"}),
                     ["cum"]),
-    "port_rank": build(f"SELECT Port, round(Portrank, {R}) AS Portrank FROM ranks", ["ranks"]),
+    "port_rank": build(f"SELECT Port, round(Portrank, {R}) + 0.0 AS Portrank FROM ranks", ["ranks"]),
     "report_table": build(f"""
-SELECT c.ret_date, c.Port, round(c.Portret * 100, {R}) AS Portret, round(c.cumret, {R}) AS cumret,
-       round(r.Portrank, {R}) AS Portrank, round(m.cumret, {R}) AS MKT_cumret
+SELECT c.ret_date, c.Port, round(c.Portret * 100, {R}) + 0.0 AS Portret, round(c.cumret, {R}) + 0.0 AS cumret,
+       round(r.Portrank, {R}) + 0.0 AS Portrank, round(m.cumret, {R}) + 0.0 AS MKT_cumret
 FROM cum c LEFT JOIN ranks r ON c.Port = r.Port
 LEFT JOIN (SELECT ret_date, cumret FROM cum WHERE Port = 'MKTPR') m ON c.ret_date = m.ret_date""",
                           ["cum", "ranks"]),
@@ -382,7 +382,7 @@ FROM chart""", ["chart"]),
 SELECT count(origin_name) AS counts, origin_name FROM incomestatement
 GROUP BY origin_name ORDER BY counts DESC""", ["incomestatement"]),
     "profile_describe": build(f"""
-SELECT summary, round(ret, {R}) AS ret FROM (
+SELECT summary, round(ret, {R}) + 0.0 AS ret FROM (
   SELECT 'count' AS summary, CAST(count(ret) AS DOUBLE) AS ret FROM dayret
   UNION ALL SELECT 'mean', avg(ret) FROM dayret
   UNION ALL SELECT 'std', stddev_samp(ret) FROM dayret
@@ -395,9 +395,9 @@ SELECT summary, round(ret, {R}) AS ret FROM (
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM incomestatement"
         for c in ("date", "stock_id", "type", "value", "origin_name")), ["incomestatement"]),
     "null_sentinel": build(f"""
-SELECT stock_id, month, round(nullif(coalesce(ret, 123), 123), {R}) AS ret FROM monthret""", ["monthret"]),
+SELECT stock_id, month, round(nullif(coalesce(ret, 123), 123), {R}) + 0.0 AS ret FROM monthret""", ["monthret"]),
     "clip_negative": build(f"""
-SELECT date, stock_id, type, round(CASE WHEN value < 0 THEN 0 ELSE value END, {R}) AS value, origin_name
+SELECT date, stock_id, type, round(CASE WHEN value < 0 THEN 0 ELSE value END, {R}) + 0.0 AS value, origin_name
 FROM balancesheet""", ["balancesheet"]),
     "universe": build("""
 SELECT stock_id, 'TSE' AS market, false AS delisted FROM listing WHERE parity = 0
@@ -413,7 +413,7 @@ WHERE length(stock_id) = 4""", ["listing"]),
 _ADJ_COLS = ["date", "stock_id", "Trading_Volume", "Trading_money", '"open"', '"max"', '"min"', '"close"',
              "spread", "Trading_turnover"]
 _ADJ_OUT = ", ".join(
-    f"round({c}, {R}) AS {c}" if c in ('"open"', '"max"', '"min"', '"close"', "spread") else c
+    f"round({c}, {R}) + 0.0 AS {c}" if c in ('"open"', '"max"', '"min"', '"close"', "spread") else c
     for c in _ADJ_COLS)
 SQL["merge_extracts"] = build(f"""
 SELECT {_ADJ_OUT} FROM (

@@ -48,7 +48,8 @@ def round_double(c, digits: int = ROUND):
     value just below a half into an exact half.)
     """
     scale = float(10 ** digits)
-    return F.round(c * F.lit(scale), 0) / F.lit(scale)
+    # "+ 0.0" turns a -0.0 (a tiny negative rounded away) into 0.0
+    return F.round(c * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
