@@ -22,35 +22,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("PANELFACTORS_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("PANELFACTORS_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    use_local_scratch(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+def use_local_scratch(spark: SparkSession) -> None:
+    """Tests, bench and the driver's local runs: a scratch folder where the session names none.
 
-    Only when the session has none (local tests) is a private folder set.
+    Only a ``local[...]`` master (one machine, one process) gets it; on a
+    cluster the folder must be shared and is the cluster's to name.
     """
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - sessions without a local context
-        sc = None
-    if sc is not None:
-        current = sc.getCheckpointDir()
-        if current:
-            return current
-        sc.setCheckpointDir(conf_dir or tempfile.mkdtemp(prefix="panelfactors-ckpt-", dir="/tmp"))
-        return sc.getCheckpointDir()
-    if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="panelfactors-ckpt-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
-    return conf_dir
+    sc = spark.sparkContext
+    if not (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)) and sc.master.startswith("local["):
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="panelfactors-"))
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder of the session, named by ``spark.checkpoint.dir``; an error where there is none."""
+    sc = spark.sparkContext
+    if not sc.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named:
+            raise ValueError("no shared folder for intermediate tables: set spark.checkpoint.dir to a folder "
+                             "that the driver and all executors share")
+        sc.setCheckpointDir(named)
+    return sc.getCheckpointDir()
 
 
 def session_key(spark: SparkSession) -> tuple:
