@@ -270,12 +270,12 @@ def removed_bytes(docs: DataFrame) -> DataFrame:
         "o1 = f.o1 AND o2 = f.o2").alias("first")), "suffix-order")
     of = ids.where(f"first AND nb >= {LENGTH}").select("key", "o1", "o2")
     # repeated rows: one text per key
-    texts = keyed.join(of, "key").select("o1", "o2", "text").dropDuplicates(["o1", "o2"])
+    texts = keyed.join(of, "key").dropDuplicates(["key"]).select("o1", "o2", "text")
     again = written(spark, repeated(find_anchors(texts)), "suffix-anchors")
     hot = again.groupBy("h").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > HOT).select("h", F.lit(True).alias("hot"))
     at = again.groupBy("o1", "o2").agg(F.collect_list(F.struct("h", "pos")).alias("at"))   # bounded by the text
     at = at.join(of, ["o1", "o2"]).select("key", "o1", "o2", "at")
-    ctx = contexts(keyed.join(at, "key").select("o1", "o2", "text", "at").dropDuplicates(["o1", "o2"]))
+    ctx = contexts(keyed.join(at, "key").dropDuplicates(["key"]).select("o1", "o2", "text", "at"))
     ctx = written(spark, ctx.join(hot, "h", "left"), "suffix-contexts")
     spans = sorted_spans(ctx.where("hot IS NULL").drop("hot")).unionByName(hot_spans(ctx.where("hot")))
     spans = spans.groupBy("o1", "o2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
