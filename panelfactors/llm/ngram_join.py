@@ -183,7 +183,7 @@ def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 [shingles(t, memo).tobytes() for t in batch.column(1).to_pylist()], pa.binary())], names=["c", "tokens"])
     d = docs.select(row_key(docs).alias("key"), text_of(docs).alias("text"))
     # repeated rows have one key: one row per class stays
-    return (d.join(wanted, "key").select("c", "text").dropDuplicates(["c"])
+    return (d.join(wanted, "key").dropDuplicates(["key"]).select("c", "text")
             .mapInArrow(run, "c binary, tokens binary"))
 
 
