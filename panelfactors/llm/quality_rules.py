@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, row_key, table, text_of
+from .common import WORD, fresh, row_key, table, text_of, written
 
 #: fixed values of the base rules
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -100,9 +100,14 @@ def quality(docs: DataFrame, max_share: float = 0.08, min_docs: int = 5, min_lef
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The input rows that pass, with all their columns."""
+    """The input rows that pass, with all their columns.
+
+    The verdicts are written first: a filter on them would be pushed down into
+    the text rules and repeat their whole expressions.
+    """
     name = fresh(docs, "quality_key")
-    good = quality(docs, **limits).where("kept").select(F.col("key").alias(name)).distinct()
+    verdicts = written(docs.sparkSession, quality(docs, **limits).select("key", "kept"), "quality-verdicts")
+    good = verdicts.where("kept").select(F.col("key").alias(name)).distinct()
     return docs.withColumn(name, row_key(docs)).join(good, name, "left_semi").select(*[docs[c] for c in docs.columns])
 
 
