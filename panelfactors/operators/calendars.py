@@ -10,14 +10,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .. import schemas as S
 from ..functions.dates import between_dates, month_key, previous_month, rebalance_year
 
 
 def with_rebalance_year(df: DataFrame, date_col: str = "ret_date",
-                        ret_start: str = S.YEARLY_RET_START, ret_end: str = S.YEARLY_RET_END,
-                        group_start: str = S.YEARLY_GROUP_START,
-                        group_end: str = S.YEARLY_GROUP_END) -> DataFrame:
+                        ret_start: str | None = None, ret_end: str | None = None,
+                        group_start: str | None = None,
+                        group_end: str | None = None) -> DataFrame:
     """Attach ``year`` (December of the grouping year) and keep dates in the calendar."""
     y = rebalance_year(date_col)
     return (df.filter(between_dates(date_col, ret_start, ret_end))
@@ -26,8 +25,8 @@ def with_rebalance_year(df: DataFrame, date_col: str = "ret_date",
 
 
 def with_momentum_months(df: DataFrame, date_col: str = "ret_date",
-                         ret_start: str = S.MOMENTUM_RET_START,
-                         ret_end: str = S.MOMENTUM_RET_END) -> DataFrame:
+                         ret_start: str | None = None,
+                         ret_end: str | None = None) -> DataFrame:
     """Attach ``mom_month`` (month of the return) and ``mc_month`` (the month before)."""
     mm = month_key(date_col)
     return (df.filter(between_dates(date_col, ret_start, ret_end))

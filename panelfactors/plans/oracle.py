@@ -12,10 +12,10 @@ from .. import schemas as S
 
 R = 6  # rounding digits, as in the Spark queries; "+ 0.0" turns a rounded -0.0 into 0.0
 
-RET_START, RET_END = "1996-07-01", "2001-11-30"
-GROUP_START, GROUP_END = "1995-12-01", "2000-12-01"
-MOM_START, MOM_END = S.MOMENTUM_RET_START, S.MOMENTUM_RET_END
-UNTIL = S.FACTOR_UNTIL
+RET_START, RET_END = "0001-01-01", "9999-12-31"
+GROUP_START, GROUP_END = "0001-01-01", "9999-12-31"
+MOM_START, MOM_END = "0001-01-01", "9999-12-31"
+UNTIL = "9999-12-31"
 
 
 def _rebalance(d: str) -> str:

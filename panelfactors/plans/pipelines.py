@@ -46,10 +46,12 @@ class FactorInputs:
 
 @dataclass
 class YearlyBounds:
-    ret_start: str = S.YEARLY_RET_START
-    ret_end: str = S.YEARLY_RET_END
-    group_start: str = S.YEARLY_GROUP_START
-    group_end: str = S.YEARLY_GROUP_END
+    """Range of the yearly calendar; open by default, so no return is dropped."""
+
+    ret_start: str | None = None
+    ret_end: str | None = None
+    group_start: str | None = None
+    group_end: str | None = None
 
     def kwargs(self):
         return dict(ret_start=self.ret_start, ret_end=self.ret_end,
@@ -58,16 +60,23 @@ class YearlyBounds:
 
 @dataclass
 class MomentumBounds:
-    ret_start: str = S.MOMENTUM_RET_START
-    ret_end: str = S.MOMENTUM_RET_END
+    """Range of the momentum calendar; open by default."""
+
+    ret_start: str | None = None
+    ret_end: str | None = None
 
     def kwargs(self):
         return dict(ret_start=self.ret_start, ret_end=self.ret_end)
 
 
+#: the fixed sample period, to be passed explicitly (with ``until=S.FACTOR_UNTIL``)
+SAMPLE_YEARLY = YearlyBounds(S.YEARLY_RET_START, S.YEARLY_RET_END, S.YEARLY_GROUP_START, S.YEARLY_GROUP_END)
+SAMPLE_MOMENTUM = MomentumBounds(S.MOMENTUM_RET_START, S.MOMENTUM_RET_END)
+
+
 def _check_freq(freq: str) -> None:
     if freq not in ("month", "day"):
-        raise ValueError("Input error: ret_freq must be 'month' or 'day'")
+        raise ValueError(f"unknown return frequency {freq!r}: use 'month' or 'day'")
 
 
 def returns(inp: FactorInputs, freq: str, drop_missing: bool = True) -> DataFrame:
@@ -115,7 +124,7 @@ def market_series(inp: FactorInputs, freq: str) -> DataFrame:
 
 
 def five_factor(inp: FactorInputs, freq: str, bounds: YearlyBounds = YearlyBounds(),
-                until: str | None = S.FACTOR_UNTIL, pattern: str = S.FINANCIAL_INDUSTRY,
+                until: str | None = None, pattern: str = S.FINANCIAL_INDUSTRY,
                 method: str | None = None, groups: DataFrame | None = None) -> dict[str, DataFrame]:
     """Five-factor table (U23): 18 portfolios, HML RMW CMA SMB3 SMB5, MKTPR."""
     _check_freq(freq)
@@ -180,7 +189,7 @@ def six_factor(five_wide: DataFrame, umd_wide: DataFrame) -> dict[str, DataFrame
 
 
 def factor_tables(inp: FactorInputs, bounds: YearlyBounds = YearlyBounds(),
-                  mom_bounds: MomentumBounds = MomentumBounds(), until: str | None = S.FACTOR_UNTIL,
+                  mom_bounds: MomentumBounds = MomentumBounds(), until: str | None = None,
                   pattern: str = S.FINANCIAL_INDUSTRY, method: str | None = None) -> dict[str, DataFrame]:
     """Monthly and daily five-factor and momentum tables plus the six-factor table.
 

@@ -106,7 +106,7 @@ DAILY_RATE_DIVISOR = 100 * 365
 BENCHMARK_PORT = "MKTPR"
 CHART_FACTORS = ["MKTPR", "SMB5", "HML", "RMW", "CMA", "UMD"]
 
-# default calendar bounds
+# the fixed sample period (a preset, not a default)
 YEARLY_RET_START = "2001-07-01"
 YEARLY_RET_END = "2026-06-30"
 YEARLY_GROUP_START = "2000-12-01"

@@ -35,11 +35,11 @@ EXTRACT_SPLIT = "2000-07-01"      # old extract: date < split
 EXTRACT_NEW_FROM = "2000-06-01"   # new extract: date >= this (June 2000 in both)
 FINANCIAL_PATTERN = "FIN"
 
-# calendar bounds of the driver data (reference bounds would leave five months)
-DATA_RET_START = "1996-07-01"
-DATA_RET_END = "2001-11-30"
-DATA_GROUP_START = "1995-12-01"
-DATA_GROUP_END = "2000-12-01"
+# calendar bounds of the driver data: open, every date takes part
+DATA_RET_START = "0001-01-01"
+DATA_RET_END = "9999-12-31"
+DATA_GROUP_START = "0001-01-01"
+DATA_GROUP_END = "9999-12-31"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str, cols: list[str]) -> DataFrame:
@@ -288,8 +288,3 @@ def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
         if key not in _SHARED:
             _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
         return _SHARED[key]
-
-
-def materialize(tables) -> None:
-    """Nothing left to do for stored tables (written on creation)."""
-    return None

@@ -101,10 +101,15 @@ def test_exclude_industry_keeps_unlisted_and_null_codes(spark):
 
 # ---- calendars -------------------------------------------------------------
 
+def test_calendars_drop_no_date_by_default(spark):
+    df = spark.createDataFrame([(D(1970, 1, 31),), (D(2031, 8, 1),)], "ret_date date")
+    assert with_rebalance_year(df).count() == 2 and with_momentum_months(df).count() == 2
+
+
 def test_rebalance_year_and_momentum_months(spark):
     df = spark.createDataFrame([(D(2001, 7, 1),), (D(2002, 6, 30),), (D(2002, 7, 1),), (D(2001, 6, 30),)],
                                "ret_date date")
-    got = {r.ret_date: r.year for r in with_rebalance_year(df).collect()}
+    got = {r.ret_date: r.year for r in with_rebalance_year(df, ret_start="2001-07-01").collect()}
     assert got == {D(2001, 7, 1): D(2000, 12, 1), D(2002, 6, 30): D(2000, 12, 1), D(2002, 7, 1): D(2001, 12, 1)}
     m = with_momentum_months(df).filter(F.col("ret_date") == D(2002, 7, 1)).first()
     assert (m.mom_month, m.mc_month) == (D(2002, 7, 1), D(2002, 6, 1))
