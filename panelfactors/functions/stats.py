@@ -21,7 +21,6 @@ Two physical strategies give the same labels:
 
 from __future__ import annotations
 
-import os
 from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
@@ -30,11 +29,8 @@ from pyspark.sql import functions as F
 from ..schemas import exact_cuts
 from ..session import ensure_checkpoint_dir
 
-# write the stacked sort values once before the selection passes
-CHECKPOINT_STACK = os.environ.get("PANELFACTORS_CHECKPOINT_STACK", "1") == "1"
-
-# default physical strategy for quantile buckets ("edges" or "window")
-DEFAULT_METHOD = os.environ.get("PANELFACTORS_BUCKET_METHOD", "edges")
+# physical strategy for quantile buckets ("edges" or "window")
+DEFAULT_METHOD = "edges"
 
 # sketch accuracy (relative rank error 1/accuracy) and bracket half-widths
 _ACCURACY = 10000
@@ -96,7 +92,9 @@ def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, calla
             aggs.append(F.count_if(v <= F.col(f"_hi{ti}_{wi}")).alias(f"_le{ti}_{wi}"))
     counts = base.join(stats, keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
 
-    # narrowest verified bracket; none verified -> the whole group (small groups)
+    # narrowest verified bracket; none verified -> the whole group.  The sketch errs by
+    # 1e-4 of a group and the wide bracket spans 1e-2 to either side, so only groups of
+    # about a hundred values or fewer can miss
     sel = [*keys, "_n"]
     for ti in range(len(targets)):
         k = F.col(f"_k{ti}")
@@ -133,12 +131,16 @@ def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, calla
 def _select_rows(base: DataFrame, keys: list[str], targets: list[tuple[str, callable, float]]) -> DataFrame:
     """Rows holding each target order statistic: ``keys..., _n, _t, _v`` (one per group and target).
 
-    Only the bracket candidates are sorted, per (group, target).
+    The bracket candidates are counted per value first (partial sums before the
+    shuffle), so a tied value is one row whatever its count; only the distinct
+    values of a bracket are sorted, per (group, target).
     """
-    cand = _candidates(base, keys, targets)
+    values = (_candidates(base, keys, targets).groupBy(*keys, "_n", "_t", "_pos", "_v")
+              .agg(F.count(F.lit(1)).alias("_c")))
     w = Window.partitionBy(*keys, "_t").orderBy("_v")
-    return (cand.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") - 1 == F.col("_pos"))
+    upto = F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (values.withColumn("_upto", upto)
+            .filter((F.col("_pos") < F.col("_upto")) & (F.col("_pos") >= F.col("_upto") - F.col("_c")))
             .select(*keys, "_n", "_t", "_v"))
 
 
@@ -194,6 +196,11 @@ def _label_by_rank(col: Column, r: Column, n: Column, cuts, labels) -> Column:
     return F.when(col.isNotNull(), expr)
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> list[DataFrame]:
     """Quantile buckets for several tables in one shared selection pass.
 
@@ -202,6 +209,10 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
     every table is stacked into one long ``(group, sort, value)`` frame, the
     needed order statistics are selected together, and one wide edge table
     (one row per group) is joined back to each table.
+
+    Every table (entity-period grain) is checkpointed to the shared folder
+    first, by a job that runs while the plan is built: the selection passes and
+    the join back all read it, so statements, caps and windows run once.
     """
     width = {len(by) for _, by, _ in frames}
     if len(width) != 1:
@@ -209,6 +220,7 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
     gcols = [f"_g{i}" for i in range(width.pop())]
     all_cuts = sorted({f for _, _, specs in frames for _, cuts, _, _ in specs
                        for f in exact_cuts(cuts) if 0 < f < 1})
+    frames = [(_stored(df), by, specs) for df, by, specs in frames]
     longs = []
     for df, by, specs in frames:
         structs = [F.struct(F.lit(name).alias("_key"), _col(col).cast("double").alias("_v"))
@@ -220,12 +232,6 @@ def bucket_frames(frames: list[tuple[DataFrame, list[str], list[tuple]]]) -> lis
         long = long.unionByName(other)
     long = (long.select(*gcols, F.col("_s._key").alias("_key"), F.col("_s._v").alias("_v"))
             .filter(F.col("_v").isNotNull()))
-    if CHECKPOINT_STACK:
-        # the stacked values feed three passes and the join back; write them once
-        # to the shared checkpoint folder (stock-period grain) so the snapshot
-        # lineage is not recomputed per pass
-        ensure_checkpoint_dir(long.sparkSession)
-        long = long.checkpoint(eager=True)
     targets = [(f"_e{_frac_name(f)}", (lambda n, f=f: _floor_pos(n, f)), float(f)) for f in all_cuts]
     picked = _select_rows(long, gcols + ["_key"], targets)
     aggs = []

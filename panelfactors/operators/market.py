@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import month_key, parse_slash_date
+from ..functions.guards import require_unique
 
 
 def index_return(index: DataFrame, freq: str, denominator: str = "current") -> DataFrame:
     """Index return per month (last price of the month) or per day.
 
     The reference divides the change by the *current* price; pass
-    ``denominator="previous"`` for the textbook return.
+    ``denominator="previous"`` for the textbook return.  ``index`` holds one
+    index: a date with prices of two fails the job, as it would multiply dates
+    in every later join.
     """
     if freq == "month":
         px = (index.groupBy("stock_id", month_key("date").alias("ret_date"))
@@ -28,7 +31,8 @@ def index_return(index: DataFrame, freq: str, denominator: str = "current") -> D
         raise ValueError("freq must be 'month' or 'day'")
     prev = F.lag("price").over(Window.partitionBy("stock_id").orderBy("ret_date"))
     base = F.col("price") if denominator == "current" else prev
-    return px.select("ret_date", F.try_divide(F.col("price") - prev, base).alias("ret"))
+    ret = px.select("ret_date", F.try_divide(F.col("price") - prev, base).alias("ret"))
+    return require_unique(ret, ["ret_date"], "index prices of more than one index")
 
 
 def risk_free(bond: DataFrame, freq: str, index_days: DataFrame | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.guards import require_unique
 
 
 def attach_groups(returns: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
@@ -14,26 +15,28 @@ def attach_groups(returns: DataFrame, groups: DataFrame, keys: list[str]) -> Dat
     The reference's left join + drop-incomplete is an inner join.  Both sides
     are hash-partitioned on the keys (or the group side broadcast when the
     runtime size allows); a key (stock, period) holds at most one period of
-    returns, so no key is hot.
+    returns, so no key is hot.  The join is many-to-one: a repeated key among
+    the groups fails the job.
     """
-    return returns.join(groups, keys, "inner").na.drop()
+    return returns.join(require_unique(groups, keys, "sort groups"), keys, "inner").na.drop()
 
 
 def vw_return(panel: DataFrame, size_col: str, other_cols: list[str], sep: str = "",
               date_col: str = "ret_date") -> DataFrame:
     """Value-weighted return of every (date, size group, other group) cell.
 
-    ``sum(MC * ret) / sum(MC)`` in one aggregation - partial sums are combined
-    map-side, so a date holding many stocks never meets in one task.  Several
-    ``other_cols`` are evaluated in one pass (one row per sort via explode, the
-    same physical plan as GROUPING SETS); their labels differ by prefix, so the
-    portfolio name tells the sort.
+    ``sum(MC * ret) / sum(MC)``.  The panel is aggregated once to the finest
+    cells (date, size, every label: at most 54 a date), with partial sums
+    combined map-side, so a date holding many stocks never meets in one task.
+    Only those few cells are exploded to one row per sort and summed again; the
+    labels differ by prefix, so the portfolio name tells the sort.
     """
-    labels = F.array(*[F.col(c) for c in other_cols]) if len(other_cols) > 1 else F.array(F.col(other_cols[0]))
     mc = F.col("MC").cast("double")
-    return (panel.select(date_col, size_col, "ret", mc.alias("_mc"), F.explode(labels).alias("_other"))
+    cells = (panel.groupBy(date_col, size_col, *other_cols)
+             .agg(F.sum(mc * F.col("ret")).alias("_mr"), F.sum(mc).alias("_mc")))
+    return (cells.select(date_col, size_col, "_mr", "_mc", F.explode(F.array(*other_cols)).alias("_other"))
             .groupBy(date_col, F.concat(F.col(size_col), F.lit(sep), F.col("_other")).alias("Port"))
-            .agg(F.try_divide(F.sum(F.col("_mc") * F.col("ret")), F.sum("_mc")).alias("Portret"))
+            .agg(F.try_divide(F.sum("_mr"), F.sum("_mc")).alias("Portret"))
             .withColumnRenamed(date_col, "ret_date"))
 
 
@@ -54,8 +57,10 @@ def to_wide(long: DataFrame, ports: list[str]) -> DataFrame:
     """Long portfolio returns -> one column per portfolio.
 
     The explicit name list fixes the schema and skips the value-discovery job.
+    A repeated cell (ret_date, Port) fails the job.
     """
-    return long.groupBy("ret_date").pivot("Port", ports).agg(F.first("Portret"))
+    cells = require_unique(long.select("ret_date", "Port", "Portret"), ["ret_date", "Port"], "portfolio returns")
+    return cells.groupBy("ret_date").pivot("Port", ports).agg(F.first("Portret"))
 
 
 def _avg_diff(plus: list[str], minus: list[str], div: int) -> Column:

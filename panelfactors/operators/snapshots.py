@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.dates import month_key, year_key
+from ..functions.guards import fail_when
 
 
 def period_last(df: DataFrame, keys: list[str], period: Column, period_name: str,
@@ -15,11 +16,26 @@ def period_last(df: DataFrame, keys: list[str], period: Column, period_name: str
 
     ``max_by`` on a primitive ordering is a hash aggregate that combines
     map-side before the shuffle; a NULL value at the last date stays NULL.
-    Sources are keyed by (entity, date); if a last date repeated, any of its
-    rows may be taken, as in the reference.  (Ordering by a struct to break
-    such ties would turn this into a sort aggregate.)
+    Sources are keyed by (entity, date); a repeated date within a year or
+    shorter period fails the job.  The check is part of the same aggregation:
+    the days seen are bits (of ``_DAY_WORDS`` long values), and their sum
+    differs from their OR exactly when a day repeats.
     """
-    return df.groupBy(*keys, period.alias(period_name)).agg(F.max_by(value, order).alias(alias))
+    day = F.dayofyear(order) - 1
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), day % _DAY_BITS)
+    aggs = [F.max_by(value, order).alias(alias)]
+    repeated = F.lit(False)
+    for w in range(_DAY_WORDS):
+        here = F.when(F.floor(day / _DAY_BITS) == w, bit)
+        aggs += [F.sum(here).alias(f"_sum{w}"), F.bit_or(here).alias(f"_or{w}")]
+        repeated = repeated | F.coalesce(F.col(f"_sum{w}") != F.col(f"_or{w}"), F.lit(False))
+    last = df.groupBy(*keys, period.alias(period_name)).agg(*aggs)
+    return (last.filter(fail_when(repeated, f"repeated date of one {', '.join(keys)}"))
+            .select(*keys, period_name, alias))
+
+
+#: bits of a long that hold one day each (sums stay exact up to 2^15 repeats), and the words of a year
+_DAY_BITS, _DAY_WORDS = 48, 8
 
 
 def year_end_cap(marketcap: DataFrame) -> DataFrame:

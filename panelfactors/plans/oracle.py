@@ -399,6 +399,10 @@ SELECT stock_id, month, round(nullif(coalesce(ret, 123), 123), {R}) + 0.0 AS ret
     "clip_negative": build(f"""
 SELECT date, stock_id, type, round(CASE WHEN value < 0 THEN 0 ELSE value END, {R}) + 0.0 AS value, origin_name
 FROM balancesheet""", ["balancesheet"]),
+    "land_json": build(f"""
+SELECT date, stock_id, type, round(value, {R}) + 0.0 AS value, origin_name FROM balancesheet""", ["balancesheet"]),
+    "csv_roundtrip": build(f"""
+SELECT stock_id, month, round(ret, {R}) + 0.0 AS ret FROM monthret""", ["monthret"]),
     "universe": build("""
 SELECT stock_id, 'TSE' AS market, false AS delisted FROM listing WHERE parity = 0
 UNION ALL SELECT stock_id, 'OTC', false FROM listing WHERE parity = 1

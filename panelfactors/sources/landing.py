@@ -43,18 +43,17 @@ def write_envelopes(df: DataFrame, entity: str, path: str) -> None:
 def merge_extracts(extracts: list[DataFrame], keys: list[str]) -> DataFrame:
     """Overlapping extracts -> one history; the later extract in the list wins.
 
-    ``max_by`` over the extract number is an aggregate, combined map-side; a
-    key has at most one row per extract.
+    One ``max_by`` over the extract number for each column: an aggregate,
+    combined map-side.  A key has at most one row per extract, so all columns
+    come from the same row.
     """
     tagged = None
     for i, df in enumerate(extracts):
         t = df.withColumn("_extract", F.lit(i))
         tagged = t if tagged is None else tagged.unionByName(t)
     values = [c for c in extracts[0].columns if c not in keys]
-    merged = tagged.groupBy(*keys).agg(
-        F.max_by(F.struct(*[F.col(c) for c in values]), F.col("_extract")).alias("_row"))
-    return merged.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in values]) \
-        .select(*extracts[0].columns)
+    merged = tagged.groupBy(*keys).agg(*[F.max_by(c, "_extract").alias(c) for c in values])
+    return merged.select(*extracts[0].columns)
 
 
 def universe(tse: DataFrame, otc: DataFrame, delisted: DataFrame, code_length: int = 4) -> DataFrame:
