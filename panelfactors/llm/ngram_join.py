@@ -169,9 +169,14 @@ def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [pa.array(token.view(np.int64)), _fixed(c), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)),
                      pa.array(rare.astype(np.int32))], names=["token", "c", "n", "pos", "rare"])
     rows = docs.select(text_of(docs).alias("text")).mapInArrow(run, "token long, c binary, n int, pos int, rare int")
-    # copies in several batches; lists of one set are of no use
-    rows = rows.groupBy("token", "c").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("rare").alias("rare"))
-    return rows
+    # copies in several batches
+    return rows.groupBy("token", "c").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("rare").alias("rare"))
+
+
+def shared_lists(posts: DataFrame) -> DataFrame:
+    """The postings of the lists of two sets or more; a list of one set, which most are, makes no pair."""
+    lists = posts.groupBy("token").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("token")
+    return posts.join(lists, "token")
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -360,10 +365,11 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     read = written(spark, read_sets(docs), "ngram-read")
     rows = read.where("kind = 0").drop("kind", "token")
     posts = written(spark, postings(docs, frequent_tokens(read.where("kind = 1"))), "ngram-postings")
+    posts = written(spark, shared_lists(posts), "ngram-shared")
 
     # pivots: of each set, the leader it shares most lists with
-    leaders = (posts.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min(F.struct("rare", "n", "c")).alias("top"))
-               .where("m > 1").select("token", F.col("top.c").alias("pivot"), F.col("top.n").alias("pivot_n")))
+    leaders = (posts.groupBy("token").agg(F.min(F.struct("rare", "n", "c")).alias("top"))
+               .select("token", F.col("top.c").alias("pivot"), F.col("top.n").alias("pivot_n")))
     led = (posts.join(leaders, "token").where(f"c <> pivot AND 100 * least(n, pivot_n) >= {PIVOT_PERCENT} * greatest(n, pivot_n)")
            .groupBy("c", "pivot").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
            .where(F.expr(f"shared >= least({SHARED}, ceil({PERCENT} * n / 100))"))
