@@ -8,7 +8,22 @@ is ``WITH <needed CTEs> <final select>`` over the driver's raw tables.
 
 from __future__ import annotations
 
-from .. import schemas as S
+from fractions import Fraction
+
+# Literals of the definitions, kept apart from the engine's own constants: a wrong value there must show.
+SIZE_CUTS = [Fraction(0), Fraction(1, 2), Fraction(1)]
+TERCILE_CUTS = [Fraction(0), Fraction(3, 10), Fraction(7, 10), Fraction(1)]
+SIZE_LABELS = ["s1", "s2"]
+BM_LABELS = ["bm1", "bm2", "bm3"]
+OP_LABELS = ["op1", "op2", "op3"]
+INV_LABELS = ["inv1", "inv2", "inv3"]
+MOM_LABELS = ["mom1", "mom2", "mom3"]
+INCOME_ITEMS = ["Revenue", "CostOfGoodsSold", "OperatingExpenses"]
+FF_PORTS = ["s1bm1", "s1bm2", "s1bm3", "s1inv1", "s1inv2", "s1inv3", "s1op1", "s1op2", "s1op3",
+            "s2bm1", "s2bm2", "s2bm3", "s2inv1", "s2inv2", "s2inv3", "s2op1", "s2op2", "s2op3"]
+MOM_PORTS = ["s1_mom1", "s1_mom2", "s1_mom3", "s2_mom1", "s2_mom2", "s2_mom3"]
+FF_FACTORS = ["HML", "RMW", "CMA", "SMB3", "SMB5"]
+CHART_FACTORS = ["MKTPR", "SMB5", "HML", "RMW", "CMA", "UMD"]
 
 R = 6  # rounding digits, as in the Spark queries; "+ 0.0" turns a rounded -0.0 into 0.0
 
@@ -30,7 +45,7 @@ def _bucket(col: str, part: str, cuts, labels) -> str:
     """CASE over the integer rank rule: r*b <= (n-1)*a for cut a/b."""
     r = f"(rank() OVER (PARTITION BY {part} ORDER BY {col}) - 1)"
     n = f"(count({col}) OVER (PARTITION BY {part}) - 1)"
-    fr = S.exact_cuts(cuts)[1:-1]
+    fr = cuts[1:-1]
     whens = " ".join(f"WHEN {r} * {f.denominator} <= {n} * {f.numerator} THEN '{lab}'"
                      for f, lab in zip(fr, labels[:-1]))
     return f"CASE WHEN {col} IS NULL THEN NULL {whens} ELSE '{labels[-1]}' END"
@@ -44,9 +59,9 @@ def _wide(src: str, ports: list[str]) -> str:
 def _spreads() -> str:
     def avg(plus, minus, div):
         return "(" + " + ".join(plus) + " - " + " - ".join(minus) + f") / {div}"
-    sm = [f"s1{x}" for x in S.BM_LABELS]
-    bg = [f"s2{x}" for x in S.BM_LABELS]
-    all_ = S.BM_LABELS + S.OP_LABELS + S.INV_LABELS
+    sm = [f"s1{x}" for x in BM_LABELS]
+    bg = [f"s2{x}" for x in BM_LABELS]
+    all_ = BM_LABELS + OP_LABELS + INV_LABELS
     return ", ".join([
         f"{avg(['s1bm3', 's2bm3'], ['s1bm1', 's2bm1'], 2)} AS HML",
         f"{avg(['s1op3', 's2op3'], ['s1op1', 's2op1'], 2)} AS RMW",
@@ -163,10 +178,10 @@ SELECT * FROM (
 WHERE BMratio IS NOT NULL AND OPtoE IS NOT NULL AND Inv IS NOT NULL""")
 cte("yg", ["chars"], f"""
 SELECT year, stock_id, MC,
-       {_bucket('MC', 'year', S.SIZE_CUTS, S.SIZE_LABELS)} AS g_size,
-       {_bucket('BMratio', 'year', S.TERCILE_CUTS, S.BM_LABELS)} AS g_bm,
-       {_bucket('OPtoE', 'year', S.TERCILE_CUTS, S.OP_LABELS)} AS g_op,
-       {_bucket('Inv', 'year', S.TERCILE_CUTS, S.INV_LABELS)} AS g_inv
+       {_bucket('MC', 'year', SIZE_CUTS, SIZE_LABELS)} AS g_size,
+       {_bucket('BMratio', 'year', TERCILE_CUTS, BM_LABELS)} AS g_bm,
+       {_bucket('OPtoE', 'year', TERCILE_CUTS, OP_LABELS)} AS g_op,
+       {_bucket('Inv', 'year', TERCILE_CUTS, INV_LABELS)} AS g_inv
 FROM chars""")
 
 # ---- momentum -------------------------------------------------------------
@@ -178,10 +193,10 @@ SELECT stock_id, mom_month, mom FROM (
   WINDOW w AS (PARTITION BY stock_id ORDER BY month ROWS BETWEEN 12 PRECEDING AND 2 PRECEDING))
 WHERE cnt = 11""")
 cte("mom_g", ["mom"], f"""
-SELECT stock_id, mom_month, mom, {_bucket('mom', 'mom_month', S.TERCILE_CUTS, S.MOM_LABELS)} AS g_mom
+SELECT stock_id, mom_month, mom, {_bucket('mom', 'mom_month', TERCILE_CUTS, MOM_LABELS)} AS g_mom
 FROM mom""")
 cte("cap_g", ["mec"], f"""
-SELECT stock_id, mc_month, MC, {_bucket('MC', 'mc_month', S.SIZE_CUTS, S.SIZE_LABELS)} AS g_size
+SELECT stock_id, mc_month, MC, {_bucket('MC', 'mc_month', SIZE_CUTS, SIZE_LABELS)} AS g_size
 FROM mec""")
 
 # ---- panels ---------------------------------------------------------------
@@ -202,13 +217,13 @@ JOIN cap_g c ON r.stock_id = c.stock_id AND r.mc_month = c.mc_month""")
     cte(f"vwall_{freq}", [f"ypanel_{freq}"], " UNION ALL ".join(
         f"SELECT ret_date, g_size || {g} AS Port, sum(MC * ret) / sum(MC) AS Portret "
         f"FROM ypanel_{freq} GROUP BY ret_date, g_size, {g}" for g in ("g_bm", "g_op", "g_inv")))
-    cte(f"ff5_{freq}", [f"vwall_{freq}"], f"SELECT *, {_spreads()} FROM ({_wide(f'vwall_{freq}', S.FF_PORTS)})")
+    cte(f"ff5_{freq}", [f"vwall_{freq}"], f"SELECT *, {_spreads()} FROM ({_wide(f'vwall_{freq}', FF_PORTS)})")
     cte(f"vwmom_{freq}", [f"mpanel_{freq}"], f"""
 SELECT ret_date, g_size || '_' || g_mom AS Port, sum(MC * ret) / sum(MC) AS Portret
 FROM mpanel_{freq} GROUP BY ret_date, g_size, g_mom""")
     cte(f"umdw_{freq}", [f"vwmom_{freq}"], f"""
-SELECT ret_date, {', '.join(S.MOM_PORTS)}, (s1_mom3 + s2_mom3 - s1_mom1 - s2_mom1) / 2 AS UMD
-FROM ({_wide(f'vwmom_{freq}', S.MOM_PORTS)})""")
+SELECT ret_date, {', '.join(MOM_PORTS)}, (s1_mom3 + s2_mom3 - s1_mom1 - s2_mom1) / 2 AS UMD
+FROM ({_wide(f'vwmom_{freq}', MOM_PORTS)})""")
 
 # ---- market ---------------------------------------------------------------
 cte("idx_m", ["taiex"], f"""
@@ -239,9 +254,9 @@ WHERE f.ret_date < DATE '{UNTIL}'""")
 
 # ---- six factors and report ----------------------------------------------
 cte("six", ["ffw_m", "umdw_m"], f"""
-SELECT f.*, {', '.join('u.' + p for p in S.MOM_PORTS)}, u.UMD
+SELECT f.*, {', '.join('u.' + p for p in MOM_PORTS)}, u.UMD
 FROM ffw_m f JOIN umdw_m u ON f.ret_date = u.ret_date""")
-_SIX_SERIES = [*S.FF_PORTS, *S.FF_FACTORS, "MKTPR", *S.MOM_PORTS, "UMD"]
+_SIX_SERIES = [*FF_PORTS, *FF_FACTORS, "MKTPR", *MOM_PORTS, "UMD"]
 cte("six_long", ["six"], f"""
 SELECT ret_date, unnest([{', '.join(repr(c) for c in _SIX_SERIES)}]) AS Port,
        unnest([{', '.join(_SIX_SERIES)}]) AS Portret
@@ -260,7 +275,7 @@ SELECT l.Port, r.Portrank FROM lastcum l LEFT JOIN (
   FROM lastcum WHERE last IS NOT NULL) r ON l.Port = r.Port""")
 cte("chart", ["six_long"], f"""
 SELECT ret_date, Port, Portret * 100 AS Portret FROM six_long
-WHERE Port IN ({', '.join(repr(f) for f in S.CHART_FACTORS)})""")
+WHERE Port IN ({', '.join(repr(f) for f in CHART_FACTORS)})""")
 
 
 def _round_cols(cols: dict[str, bool]) -> str:
@@ -271,6 +286,17 @@ def _rounded_select(src: str, cols: list[str], doubles: set[str]) -> str:
     return f"SELECT {_round_cols({c: c in doubles for c in cols})} FROM {src}"
 
 
+def _profile(src: str, cols: list[str]) -> str:
+    stats = {"count": "CAST(count({c}) AS DOUBLE)", "mean": "avg({c})", "std": "stddev_samp({c})",
+             "min": "CAST(min({c}) AS DOUBLE)", "25%": "quantile_cont(CAST({c} AS DOUBLE), 0.25)",
+             "50%": "quantile_cont(CAST({c} AS DOUBLE), 0.5)", "75%": "quantile_cont(CAST({c} AS DOUBLE), 0.75)",
+             "max": "CAST(max({c}) AS DOUBLE)"}
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS summary, " + ", ".join(
+            f"""round({f.format(c=f'"{c}"')}, {R}) + 0.0 AS "{c}" """ for c in cols) + f" FROM {src}"
+        for name, f in stats.items())
+
+
 def build(final: str, deps: list[str]) -> str:
     order: list[str] = []
 
@@ -287,8 +313,8 @@ def build(final: str, deps: list[str]) -> str:
     return f"WITH {body}\n{final}"
 
 
-FF_COLS = ["ret_date", *S.FF_PORTS, *S.FF_FACTORS, "MKTPR"]
-UMD_COLS = ["ret_date", *S.MOM_PORTS, "UMD"]
+FF_COLS = ["ret_date", *FF_PORTS, *FF_FACTORS, "MKTPR"]
+UMD_COLS = ["ret_date", *MOM_PORTS, "UMD"]
 
 
 def _all_rounded(src, cols, keep=("ret_date",)):
@@ -300,7 +326,7 @@ SQL: dict[str, str] = {
     "month_end_cap": build("SELECT stock_id, mc_month, MC FROM mec", ["mec"]),
     "widen_balance": build(_rounded_select("wb", ["date", "stock_id", "Equity", "TotalAssets"],
                                            {"Equity", "TotalAssets"}), ["wb"]),
-    "widen_income": build(_rounded_select("wi", ["date", "stock_id", *S.INCOME_ITEMS], set(S.INCOME_ITEMS)),
+    "widen_income": build(_rounded_select("wi", ["date", "stock_id", *INCOME_ITEMS], set(INCOME_ITEMS)),
                           ["wi"]),
     "annual_balance": build(_rounded_select("ab", ["year", "stock_id", "Equity", "TotalAssets"],
                                             {"Equity", "TotalAssets"}), ["ab"]),
@@ -313,10 +339,10 @@ SQL: dict[str, str] = {
         "chars", ["year", "stock_id", "Equity", "TotalAssets", "MC", "yOP", "BMratio", "OPtoE", "Inv"],
         {"Equity", "TotalAssets", "yOP", "BMratio", "OPtoE", "Inv"}), ["chars"]),
     "momentum": build(_rounded_select("mom", ["stock_id", "mom_month", "mom"], {"mom"}), ["mom"]),
-    "bucket_size": build(f"SELECT year, stock_id, MC, {_bucket('MC', 'year', S.SIZE_CUTS, S.SIZE_LABELS)} "
+    "bucket_size": build(f"SELECT year, stock_id, MC, {_bucket('MC', 'year', SIZE_CUTS, SIZE_LABELS)} "
                          f"AS g_size FROM chars", ["chars"]),
     "bucket_bm": build(f"SELECT year, stock_id, round(BMratio, {R}) + 0.0 AS BMratio, "
-                       f"{_bucket('BMratio', 'year', S.TERCILE_CUTS, S.BM_LABELS)} AS g_bm FROM chars",
+                       f"{_bucket('BMratio', 'year', TERCILE_CUTS, BM_LABELS)} AS g_bm FROM chars",
                        ["chars"]),
     "bucket_mom": build(_rounded_select("mom_g", ["stock_id", "mom_month", "mom", "g_mom"], {"mom"}), ["mom_g"]),
     "bucket_edges": build(f"""
@@ -346,9 +372,9 @@ SELECT ret_date, stock_id, g_size, g_bm, MC, round(ret, {R}) + 0.0 AS ret,
        round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm), {R}) + 0.0 AS weight,
        round(MC / sum(MC) OVER (PARTITION BY ret_date, g_size, g_bm) * ret, {R}) + 0.0 AS weight_ret
 FROM ypanel_m""", ["ypanel_m"]),
-    "portfolios_wide": build(_all_rounded(f"({_wide('vwall_m', S.FF_PORTS)})", ["ret_date", *S.FF_PORTS]),
+    "portfolios_wide": build(_all_rounded(f"({_wide('vwall_m', FF_PORTS)})", ["ret_date", *FF_PORTS]),
                              ["vwall_m"]),
-    "five_factors": build(_all_rounded("ff5_m", ["ret_date", *S.FF_PORTS, *S.FF_FACTORS]), ["ff5_m"]),
+    "five_factors": build(_all_rounded("ff5_m", ["ret_date", *FF_PORTS, *FF_FACTORS]), ["ff5_m"]),
     "umd": build(f"SELECT ret_date, round(UMD, {R}) + 0.0 AS UMD FROM umdw_m", ["umdw_m"]),
     "index_ret_month": build(_all_rounded("idx_m", ["ret_date", "ret"]), ["idx_m"]),
     "index_ret_day": build(_all_rounded("idx_d", ["ret_date", "ret"]), ["idx_d"]),
@@ -381,6 +407,12 @@ FROM chart""", ["chart"]),
     "item_counts": build("""
 SELECT count(origin_name) AS counts, origin_name FROM incomestatement
 GROUP BY origin_name ORDER BY counts DESC""", ["incomestatement"]),
+    "rebalance_calendar_day": build(f"SELECT DISTINCT date AS ret_date, {_rebalance('date')} AS year FROM dayret",
+                                    ["dayret"]),
+    "profile_caps": build(_profile("marketcap", ["market_value"]), ["marketcap"]),
+    "profile_monthret": build(_profile("monthret", ["ret"]), ["monthret"]),
+    "profile_prices": build(_profile("(SELECT * FROM adjprice WHERE date >= DATE '2000-06-01')",
+                                     ["open", "max", "min", "close", "spread"]), ["adjprice"]),
     "profile_describe": build(f"""
 SELECT summary, round(ret, {R}) + 0.0 AS ret FROM (
   SELECT 'count' AS summary, CAST(count(ret) AS DOUBLE) AS ret FROM dayret
@@ -395,7 +427,10 @@ SELECT summary, round(ret, {R}) + 0.0 AS ret FROM (
         f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS null_count FROM incomestatement"
         for c in ("date", "stock_id", "type", "value", "origin_name")), ["incomestatement"]),
     "null_sentinel": build(f"""
-SELECT stock_id, month, round(nullif(coalesce(ret, 123), 123), {R}) + 0.0 AS ret FROM monthret""", ["monthret"]),
+SELECT stock_id, month, CASE WHEN month(month) <> 6 THEN round(ret, {R}) + 0.0 END AS ret FROM monthret""", ["monthret"]),
+    "clip_caps": build("""
+SELECT date, stock_id, CASE WHEN day(date) % 5 = 0 THEN 0 ELSE market_value END AS market_value FROM marketcap""",
+                       ["marketcap"]),
     "clip_negative": build(f"""
 SELECT date, stock_id, type, round(CASE WHEN value < 0 THEN 0 ELSE value END, {R}) + 0.0 AS value, origin_name
 FROM balancesheet""", ["balancesheet"]),

@@ -33,7 +33,7 @@ from ..sources.landing import land_json as _land_json
 from ..sources.landing import merge_extracts as _merge_extracts
 from ..sources.landing import universe as _universe
 from ..sources.landing import write_csv, write_envelopes
-from ..sources.readers import read_csv
+from ..sources.readers import read_return_csv
 from . import pipelines as P
 
 DATA_BOUNDS = P.YearlyBounds(A.DATA_RET_START, A.DATA_RET_END, A.DATA_GROUP_START, A.DATA_GROUP_END)
@@ -156,6 +156,10 @@ def q_rebalance_calendar(spark, sf):
     return _rebalance_calendar(inputs(spark, sf).monthret, "month", **DATA_BOUNDS.kwargs())
 
 
+def q_rebalance_calendar_day(spark, sf):
+    return _rebalance_calendar(inputs(spark, sf).dayret, "date", **DATA_BOUNDS.kwargs())
+
+
 def q_monthly_calendar(spark, sf):
     return _monthly_calendar(inputs(spark, sf).dayret, "date")
 
@@ -321,12 +325,35 @@ def q_profile_describe(spark, sf):
     return rounded(profile(inputs(spark, sf).dayret, ["ret"]))
 
 
+def q_profile_caps(spark, sf):
+    return rounded(profile(inputs(spark, sf).marketcap, ["market_value"]))
+
+
+def q_profile_monthret(spark, sf):
+    return rounded(profile(inputs(spark, sf).monthret, ["ret"]))
+
+
+def q_profile_prices(spark, sf):
+    prices = A.finance_tables(spark, sf).adjprice_new()
+    return rounded(profile(prices, ["open", "max", "min", "close", "spread"]))
+
+
 def q_null_counts(spark, sf):
     return null_counts(inputs(spark, sf).incomestatement)
 
 
 def q_null_sentinel(spark, sf):
-    return rounded(null_sentinel(fill_sentinel(inputs(spark, sf).monthret)))
+    """June returns carry the marker besides the missing ones; all of them become NULL."""
+    staged = fill_sentinel(inputs(spark, sf).monthret)
+    marked = staged.withColumn("ret", F.when(F.month("month") == 6, F.lit(S.MISSING_RETURN_SENTINEL)).otherwise(F.col("ret")))
+    return rounded(null_sentinel(marked))
+
+
+def q_clip_caps(spark, sf):
+    """Caps of every fifth day of the month are reported with a minus sign and clip to 0."""
+    caps = inputs(spark, sf).marketcap
+    signed = caps.withColumn("market_value", F.when(F.dayofmonth("date") % 5 == 0, -F.col("market_value")).otherwise(F.col("market_value")))
+    return clip_negative(signed, "market_value").select("date", "stock_id", "market_value")
 
 
 def q_clip_negative(spark, sf):
@@ -358,7 +385,7 @@ def q_csv_roundtrip(spark, sf):
     """Returns staged to CSV with the missing-value marker, bulk-read back and repaired."""
     path = scratch_path(spark, "staged-monthret")
     write_csv(fill_sentinel(inputs(spark, sf).monthret), path)
-    return rounded(null_sentinel(read_csv(spark, path, S.MONTHRET)))
+    return rounded(read_return_csv(spark, path))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -378,6 +405,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bucket_edges": q_bucket_edges,
     "year_groups": q_year_groups,
     "rebalance_calendar": q_rebalance_calendar,
+    "rebalance_calendar_day": q_rebalance_calendar_day,
     "monthly_calendar": q_monthly_calendar,
     "factor_panel": q_factor_panel,
     "vw_bm": _vw(["g_bm"]),
@@ -408,9 +436,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chart_bounds": q_chart_bounds,
     "item_counts": q_item_counts,
     "profile_describe": q_profile_describe,
+    "profile_caps": q_profile_caps,
+    "profile_monthret": q_profile_monthret,
+    "profile_prices": q_profile_prices,
     "null_counts": q_null_counts,
     "null_sentinel": q_null_sentinel,
     "clip_negative": q_clip_negative,
+    "clip_caps": q_clip_caps,
     "merge_extracts": q_merge_extracts,
     "universe": q_universe,
     "top_rows": q_top_rows,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..operators.profiling import clip_negative, null_sentinel
 
 # Fixed header names of the source CSV files.
 LISTING_HEADERS = {"公司代號": "stock_id", "產業類別": "industry"}
@@ -41,7 +42,8 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def read_marketcap(spark, path):
-    return read_parquet(spark, path, S.MARKETCAP)
+    """Caps, negative ones as 0 (a negative cap would become a weight)."""
+    return clip_negative(read_parquet(spark, path, S.MARKETCAP), "market_value")
 
 
 def read_monthret(spark, path):
@@ -77,6 +79,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     return spark.read.options(**opts).schema(schema).csv(path)
 
 
+def read_return_csv(spark: SparkSession, path: str, schema: T.StructType = S.MONTHRET) -> DataFrame:
+    """Staged returns; the marker of a missing return becomes NULL."""
+    return null_sentinel(read_csv(spark, path, schema))
+
+
 def read_listing(spark, path):
     return read_csv(spark, path, S.LISTING, LISTING_HEADERS)
 

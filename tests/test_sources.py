@@ -105,3 +105,14 @@ def test_parquet_sink_partitioned_by_year_prunes(spark, tmp_dir):
     assert sorted(r.ret_date.year for r in back.collect()) == [2001, 2002]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "year" in plan
+
+
+def test_readers_clean_caps_and_returns(spark, tmp_dir):
+    caps = os.path.join(tmp_dir, "caps")
+    spark.createDataFrame([(D(2020, 1, 2), "1101", -5), (D(2020, 1, 3), "1101", 7), (D(2020, 1, 4), "1101", None)],
+                          "date date, stock_id string, market_value long").write.parquet(caps)
+    assert [r.market_value for r in readers.read_marketcap(spark, caps).orderBy("date").collect()] == [0, 7, None]
+    csv = os.path.join(tmp_dir, "ret.csv")
+    with open(csv, "w", encoding="utf-8") as f:
+        f.write("stock_id,month,ret\n1101,2020-01-01,123\n1101,2020-02-01,0.5\n")
+    assert [r.ret for r in readers.read_return_csv(spark, csv).orderBy("month").collect()] == [None, 0.5]
