@@ -169,8 +169,8 @@ def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                     [pa.array(token.view(np.int64)), _fixed(c), pa.array(n.astype(np.int32)), pa.array(pos.astype(np.int32)),
                      pa.array(rare.astype(np.int32))], names=["token", "c", "n", "pos", "rare"])
     rows = docs.select(text_of(docs).alias("text")).mapInArrow(run, "token long, c binary, n int, pos int, rare int")
-    # copies in several batches
-    return rows.groupBy("token", "c").agg(F.first("n").alias("n"), F.first("pos").alias("pos"), F.first("rare").alias("rare"))
+    # copies in several batches agree in all columns; max moves no flags beside the values, as first does
+    return rows.groupBy("token", "c").agg(F.max("n").alias("n"), F.max("pos").alias("pos"), F.max("rare").alias("rare"))
 
 
 def shared_lists(posts: DataFrame) -> DataFrame:
