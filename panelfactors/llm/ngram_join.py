@@ -16,7 +16,7 @@ joined, documents only carry their class.
 3. Remaining pairs.  Only lists whose sets lie in different components matter,
    and only pairs across components.  A list is cut into blocks by position and
    size, and a pair of blocks is skipped when even its best bound (remaining
-   tokens, sizes) misses the threshold.  Long lists are cut into parts that are
+   tokens and those passed, sizes) misses the threshold.  Long lists are cut into parts that are
    paired in separate tasks.  Two sets with the same pivot are not intersected
    again: their overlap follows from the pivot's size and the two differences.
    All other pairs are intersected in full.
@@ -245,15 +245,16 @@ def full_links(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def list_pairs(n, pos, comp, part, i, j, block=BLOCK):
+def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
     """Index pairs of one list (or of parts i and j of it) that may link, block by block.
 
     A token at position p of a set of n leaves at most n - p common tokens from
     there on; at the pair's first common token that bound holds for both sets.
+    At a later one the common tokens before it, ``passed`` at most, are added.
     """
     order = np.lexsort((pos, n))
     n, pos, comp, part = n[order], pos[order], comp[order], part[order]
-    rest, least = n - pos, need(n)
+    rest, least = n - pos + passed, need(n)
     blocks = [slice(s, min(s + block, len(n))) for s in range(0, len(n), block)]
     most_rest = np.array([rest[b].max() for b in blocks])
     low = np.array([least[b].min() for b in blocks])
@@ -279,7 +280,11 @@ def list_pairs(n, pos, comp, part, i, j, block=BLOCK):
 
 
 def remaining_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes in different components that share enough indexed tokens."""
+    """Pairs (a, b) of classes in different components that share enough indexed tokens.
+
+    A linked pair meets in the lists of its first SHARED common tokens, so each
+    of these has to count; the bound without tokens passed holds in the first.
+    """
     p = posts.join(comps.select("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     mixed = (p.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("token", F.expr(f"CAST(ceil(m / {PART}) AS int)").alias("parts")))
@@ -303,13 +308,15 @@ def remaining_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
                 if e - s < 2:
                     continue
                 v = slice(s, e)
-                a, b = list_pairs(col["n"][v].astype(np.int64), col["pos"][v], col["comp"][v], col["part"][v], col["i"][s], col["j"][s])
+                n, pos = col["n"][v].astype(np.int64), col["pos"][v]
+                a, b = list_pairs(n, pos, col["comp"][v], col["part"][v], col["i"][s], col["j"][s], passed=SHARED - 1)
                 for at in range(0, len(a), 100_000):
-                    x, y = c[v][a[at:at + 100_000]], c[v][b[at:at + 100_000]]
-                    low = col["n"][v][a[at:at + 100_000]]
+                    ax, bx = a[at:at + 100_000], b[at:at + 100_000]
+                    x, y = c[v][ax], c[v][bx]
+                    first = np.minimum((n - pos)[ax], (n - pos)[bx]) >= need(np.maximum(n[ax], n[bx]))
                     flip = x.view("S16") > y.view("S16")
                     yield pa.RecordBatch.from_arrays([_fixed(np.where(flip, y, x)), _fixed(np.where(flip, x, y)),
-                                                      pa.array(low.astype(np.int32))], names=["a", "b", "n"])
+                                                      pa.array(n[ax].astype(np.int32)), pa.array(first)], names=["a", "b", "n", "first"])
 
         last = None
         for batch in batches:
@@ -328,9 +335,9 @@ def remaining_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
         if held:
             yield from flush(pa.Table.from_batches(held))
 
-    found = p.mapInArrow(run, "a binary, b binary, n int")
-    return (found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n"))
-            .where(F.expr(f"shared >= least({SHARED}, ceil({PERCENT} * n / 100))")).select("a", "b"))
+    found = p.mapInArrow(run, "a binary, b binary, n int, first boolean")
+    return (found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n"), F.max("first").alias("first"))
+            .where(F.expr(f"first AND shared >= least({SHARED}, ceil({PERCENT} * n / 100))")).select("a", "b"))
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:

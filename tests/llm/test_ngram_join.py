@@ -136,3 +136,33 @@ def test_query(spark):
     rows = pq.read_table(f"{sf}/documents.parquet").to_pylist()
     want = brute([r["text"] for r in rows], [r["doc_id"] for r in rows])
     assert got(op2_ngram_jaccard_join(spark, sf)) == sorted(want, key=repr)
+
+
+def cut_groups(r, sizes, copies):
+    """Groups whose members lack or add words at the start or end, or are edited there."""
+    out = []
+    for size in sizes:
+        for g in range(copies):
+            w = [f"t{size}g{g}x{i}" for i in range(size + 2)]      # size shingles
+            k = size // 11
+            out += [" ".join(x) for x in (w, w[:-k], w[k:], w + [f"e{g}y{i}" for i in range(k)], [f"s{g}y{i}" for i in range(k)] + w,
+                                          w[:-1] + ["z"], ["z"] + w[1:], w[k // 2:-(k - k // 2)])]
+    r.shuffle(out)
+    return out
+
+
+def test_truncated_extended_and_end_edited_groups(spark):
+    r = random.Random(11)
+    texts = cut_groups(r, (11, 19, 20, 22, 25, 29, 33, 60, 100, 101, 150, 210), 12)
+    ids = list(range(len(texts)))
+    assert got(similar_documents(docs_frame(spark, texts, ids=ids))) == sorted(brute(texts, ids), key=repr)
+
+
+def test_cut_on_both_sides_is_linked(spark):
+    """A and C miss each other but both link to B; only one of the pairs can be a pivot pair."""
+    texts = []
+    for g in range(40):
+        w = [f"b{g}x{i}" for i in range(102)]
+        texts += [" ".join(w), " ".join(w[:-9]), " ".join(w[9:])]
+    rows = {r.doc_id: r.component_id for r in similar_documents(docs_frame(spark, texts)).collect()}
+    assert all(rows[i] == i // 3 * 3 for i in rows)
