@@ -3,16 +3,22 @@
 Base rules are computed row by row.  The cross-document part hashes every
 normalised line (lower case, digits folded to 0, white space collapsed) and
 counts, per host (``source``), the distinct documents that carry it; documents
-with the same whole text count as one.  A line is boilerplate in its host when
-more than ``max(min_docs, max_share * distinct documents of the host)`` carry
-it.  Boilerplate lines are removed, and a document left with less than
-``min_left`` of its words is depleted and rejected.  The limit is a share of
-the host, so it behaves alike at every size, and copies or near copies of an
-ordinary document stay far below it (removing those is not this operator's job).
-
-Shuffles carry line hashes only, never texts.  The count is two-phase
-(distinct, then partial sums), and the look-up of boilerplate lines is a plain
-equi-join on (host, line): Spark sizes it at run time and splits a hot key.
+with the same whole text count as one, and so do near copies.  A line is
+boilerplate in its host when more than
+``max(min_docs, max_share * distinct documents of the host)`` carry it.
+Boilerplate lines are removed, and a document left with less than ``min_left``
+of its words is depleted and rejected.  The limit is a share of the host, so it
+behaves alike at every size.
+
+Near copies (removing them is not this operator's job): of the documents that
+carry a line, byte for byte, the one with the least digest leads it.  A document
+that has at least half of its words in lines with one leader is a near copy of
+it, and counts as the leader does.  Only lines above the limit by plain counts
+are looked at; counting near copies as one lowers a count, never raises it.
+
+The count is two-phase (distinct, then partial sums), and the look-ups of lines
+are plain equi-joins on (host, line): Spark sizes them at run time and splits a
+hot key.  The lines above the plain limit are written to the shared folder.
 
 NULL text: no words, so it fails the base rule.  NULL source is a host of its
 own.  Repeated rows are one document and get the same verdict.  Extra columns
@@ -21,7 +27,7 @@ are ignored here; ``keep_good`` passes them on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, fresh, row_key, table, text_of, written
@@ -56,19 +62,25 @@ def text_rules(docs: DataFrame) -> DataFrame:
                         | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
 
 
+def word_count(text: Column) -> Column:
+    return F.size(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).cast("long")
+
+
 def text_lines(docs: DataFrame) -> DataFrame:
-    """One row per line with a word: key, host, doc (digest of the whole text), line (hash), words, first."""
+    """One row per line with a word, and per line 0.
+
+    key, host, doc (digest of the whole text), total (its words), no, raw (hash of the line), words, line (hash, normalised).
+    """
     d = docs.select(row_key(docs).alias("key"), docs["source"].alias("host"),
-                    F.xxhash64(text_of(docs)).alias("doc"), text_of(docs).alias("text"))
-    d = d.select("key", "host", "doc", F.posexplode(F.split("text", "\n", -1)).alias("no", "raw"))
-    d = d.select("key", "host", "doc", "no", F.size(F.regexp_extract_all("raw", F.lit(WORD), F.lit(0))).cast("long").alias("words"),
-                 F.xxhash64(F.trim(F.regexp_replace(F.regexp_replace(
-                     F.lower("raw"), "[0-9]", "0"), "[ \\t-\\r]+", " "))).alias("line"))
+                    F.xxhash64(text_of(docs)).alias("doc"), word_count(text_of(docs)).alias("total"), text_of(docs).alias("text"))
+    d = d.select("key", "host", "doc", "total", F.posexplode(F.split("text", "\n", -1)).alias("no", "raw"))
+    d = d.select("key", "host", "doc", "total", "no", F.xxhash64("raw").alias("raw"), word_count(F.col("raw")).alias("words"), F.xxhash64(
+        F.trim(F.regexp_replace(F.regexp_replace(F.lower("raw"), "[0-9]", "0"), "[ \\t-\\r]+", " "))).alias("line"))
     return d.where((F.col("words") > 0) | (F.col("no") == 0))
 
 
-def boilerplate(lines: DataFrame, max_share: float, min_docs: int) -> DataFrame:
-    """(host, line) of the lines that more documents of the host carry than the limit."""
+def frequent_lines(lines: DataFrame, max_share: float, min_docs: int) -> DataFrame:
+    """(b_host, b_line, least) of the lines that more distinct documents of the host carry than the limit ``least``."""
     per_line = (lines.where("words > 0").select("host", "line", "doc").distinct()
                 .groupBy("host", "line").agg(F.count(F.lit(1)).alias("carriers")))
     per_host = (lines.select("host", "doc").distinct()
@@ -76,22 +88,42 @@ def boilerplate(lines: DataFrame, max_share: float, min_docs: int) -> DataFrame:
     # a line under min_docs is never boilerplate: most lines go before the join
     many = per_line.where(F.col("carriers") > min_docs).alias("l").join(
         per_host.alias("h"), F.expr("l.host <=> h.host"))
-    return many.where(F.col("carriers") > max_share * F.col("docs")).select(
-        F.col("l.host").alias("b_host"), F.col("line").alias("b_line"))
+    return (many.withColumn("least", F.greatest(F.lit(float(min_docs)), max_share * F.col("docs")))
+            .where("carriers > least").select(F.col("l.host").alias("b_host"), F.col("line").alias("b_line"), "least"))
+
+
+def near_copies(found: DataFrame) -> DataFrame:
+    """(r_host, r_doc, leader) of the documents that are near copies of a leader; ``found``: lines above the plain limit."""
+    f = found.select("host", "doc", "no", "raw", "words", "total").distinct()
+    leaders = (f.groupBy("host", "raw").agg(F.min("doc").alias("leader"), F.max("doc").alias("last")).where("leader < last")
+               .select(F.col("host").alias("l_host"), F.col("raw").alias("l_raw"), "leader"))
+    shared = (f.join(leaders, F.expr("host <=> l_host AND raw = l_raw")).where("leader < doc")
+              .groupBy("host", "doc", "leader").agg(F.sum("words").alias("words"), F.first("total").alias("total"))
+              .where("2 * words >= total"))
+    return (shared.groupBy("host", "doc").agg(F.max_by("leader", F.struct("words", "leader")).alias("leader"))
+            .select(F.col("host").alias("r_host"), F.col("doc").alias("r_doc"), "leader"))
+
+
+def boilerplate(docs: DataFrame, max_share: float, min_docs: int) -> DataFrame:
+    """(key, no, words, line) of every boilerplate line, once for repeated rows."""
+    spark = docs.sparkSession
+    lines = text_lines(docs)
+    found = written(spark, lines.join(frequent_lines(lines, max_share, min_docs),
+                                      F.expr("host <=> b_host AND line = b_line AND words > 0"))
+                    .select("key", "host", "doc", "total", "no", "raw", "words", "line", "least")
+                    .dropDuplicates(["key", "no"]), "quality-lines")
+    copies = near_copies(found)
+    counted = (found.join(copies, F.expr("host <=> r_host AND doc = r_doc"), "left")
+               .select("host", "line", "least", F.coalesce("leader", "doc").alias("carrier")).distinct()
+               .groupBy("host", "line").agg(F.count(F.lit(1)).alias("carriers"), F.first("least").alias("least"))
+               .where("carriers > least").select(F.col("host").alias("b_host"), F.col("line").alias("b_line")))
+    return found.join(counted, F.expr("host <=> b_host AND line = b_line")).select("key", "no", "words", "line")
 
 
 def quality(docs: DataFrame, max_share: float = 0.08, min_docs: int = 5, min_left: float = 0.3) -> DataFrame:
     """``text_rules`` plus removed_words, removed_lines, depleted, kept; one row per input row."""
-    lines = text_lines(docs)
-    bad = boilerplate(lines, max_share, min_docs)
-    # copies of one row all add the same words: divided by the number of copies (each has one line 0)
-    removed = (lines.join(bad, F.expr("host <=> b_host AND line = b_line AND words > 0"), "left")
-               .groupBy("key").agg(
-                   F.sum(F.when(F.col("b_line").isNotNull(), F.col("words")).otherwise(0)).alias("w"),
-                   F.sum(F.when(F.col("b_line").isNotNull(), 1).otherwise(0)).alias("n"),
-                   F.sum((F.col("no") == 0).cast("long")).alias("copies"))
-               .where("n > 0").select("key", F.expr("w div copies").alias("removed_words"),
-                                      F.expr("n div copies").alias("removed_lines")))
+    removed = (boilerplate(docs, max_share, min_docs).groupBy("key")
+               .agg(F.sum("words").alias("removed_words"), F.count(F.lit(1)).alias("removed_lines")))
     d = text_rules(docs).join(removed, "key", "left")
     d = d.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     d = d.withColumn("removed_lines", F.coalesce("removed_lines", F.lit(0).cast("long")))

@@ -1,3 +1,4 @@
+import random
 import re
 
 from panelfactors.llm.quality_rules import keep_good, op3_quality_rules, quality
@@ -65,3 +66,29 @@ def test_query(spark, sample_texts):
     for r in rows:
         assert tuple(r[c] for c in COLS) == brute(sample_texts[r.doc_id]["text"])
     assert sum(r.kept for r in rows) > 0.8 * sum(not r.base_failed for r in rows)
+
+
+def near_copy_group(n, lines, words, edits=1):
+    """n texts of one base, each with ``edits`` words of its own."""
+    r = random.Random(n)
+    out = []
+    for i in range(n):
+        t = [[f"{chr(97 + a)}line{chr(97 + b)}" for b in range(words)] for a in range(lines)]
+        for _ in range(edits):
+            t[r.randrange(lines)][r.randrange(words)] = "own" + "".join(chr(97 + int(c)) for c in str(i))
+        out.append("\n".join(map(" ".join, t)))
+    return out
+
+
+def test_near_copies_count_as_one(spark):
+    """A third of a host, and 6 of a small source: no member is rejected, spam beside them still is."""
+    name = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(120)]
+    plain = [f"{BODY} unique {n}\nbody {n} line {' '.join(n + m for m in name[:20])}" for n in name]
+    spam = [f"Buy cheap things here today now {i:02d} \nClick this link to win a big prize now\nz{i} q{i}" + " pad" * 3 for i in range(40)]
+    groups = [near_copy_group(80, 10, 8), near_copy_group(80, 10, 8, edits=2), near_copy_group(80, 5, 25), near_copy_group(6, 12, 6)]
+    for g in groups:
+        others = plain + spam if len(g) > 6 else plain[:60]
+        rows = {r.doc_id: r for r in quality(docs_frame(spark, g + others, ["h"] * (len(g) + len(others)))).collect()}
+        assert all(rows[i].kept and rows[i].removed_lines == 0 for i in range(len(g)))
+        bad = set(range(len(g) + len(plain), len(g) + len(others)))
+        assert {i for i in rows if not rows[i].kept} == bad and all(rows[i].removed_lines for i in bad)
