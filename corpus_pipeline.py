@@ -17,7 +17,7 @@ from panelfactors.llm.source_mix import mix
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules."""
+    """Documents that pass the quality rules, without their boilerplate lines."""
     return keep_good(docs)
 
 

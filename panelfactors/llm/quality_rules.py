@@ -38,11 +38,11 @@ SYMBOLS = "#*$%&|<>"
 
 
 def text_rules(docs: DataFrame) -> DataFrame:
-    """Per row: key, doc_id, host, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    d = docs.select(row_key(docs).alias("key"), "doc_id", docs["source"].alias("host"), text_of(docs).alias("text"))
+    """Per row: key, doc_id, host, whole (the text), n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    d = docs.select(row_key(docs).alias("key"), "doc_id", docs["source"].alias("host"), docs["text"].alias("whole"), text_of(docs).alias("text"))
     d = d.select("*", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)).alias("words"),
                  F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)).alias("lines"))
-    d = d.select("key", "doc_id", "host", "words", F.size("words").cast("long").alias("n_words"),
+    d = d.select("key", "doc_id", "host", "whole", "words", F.size("words").cast("long").alias("n_words"),
                  (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long").alias("n_symbols"),
                  F.length(F.translate("text", " \t\n\u000b\u000c\r", "")).cast("long").alias("word_chars"),
                  (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"))
@@ -120,31 +120,43 @@ def boilerplate(docs: DataFrame, max_share: float, min_docs: int) -> DataFrame:
     return found.join(counted, F.expr("host <=> b_host AND line = b_line")).select("key", "no", "words", "line")
 
 
+def without_lines(text: Column, removed_at: Column) -> Column:
+    """The text without the lines of these numbers; the others stay byte for byte."""
+    return F.when(removed_at.isNull(), text).otherwise(F.array_join(
+        F.filter(F.split(text, "\n", -1), lambda x, i: ~F.array_contains(removed_at, i)), "\n"))
+
+
 def quality(docs: DataFrame, max_share: float = 0.08, min_docs: int = 5, min_left: float = 0.3) -> DataFrame:
-    """``text_rules`` plus removed_words, removed_lines, depleted, kept; one row per input row."""
-    removed = (boilerplate(docs, max_share, min_docs).groupBy("key")
-               .agg(F.sum("words").alias("removed_words"), F.count(F.lit(1)).alias("removed_lines")))
+    """``text_rules`` plus removed_words, removed_lines, removed_at (their numbers), clean_text, depleted, kept; one row per input row."""
+    removed = (boilerplate(docs, max_share, min_docs).groupBy("key")   # bounded by the text
+               .agg(F.sum("words").alias("removed_words"), F.count(F.lit(1)).alias("removed_lines"), F.collect_set("no").alias("removed_at")))
     d = text_rules(docs).join(removed, "key", "left")
     d = d.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
     d = d.withColumn("removed_lines", F.coalesce("removed_lines", F.lit(0).cast("long")))
+    d = d.withColumn("clean_text", without_lines(F.col("whole"), F.col("removed_at"))).drop("whole")
     d = d.withColumn("depleted", F.col("n_words") - F.col("removed_words") < min_left * F.col("n_words"))
     return d.withColumn("kept", ~F.col("base_failed") & ~F.col("depleted"))
 
 
 def keep_good(docs: DataFrame, **limits) -> DataFrame:
-    """The input rows that pass, with all their columns.
+    """The input rows that pass, with all their columns, boilerplate lines removed from the text.
 
+    ``n_chars``, if there, is set to the new length where the text changed.
     The verdicts are written first: a filter on them would be pushed down into
     the text rules and repeat their whole expressions.
     """
-    name = fresh(docs, "quality_key")
-    verdicts = written(docs.sparkSession, quality(docs, **limits).select("key", "kept"), "quality-verdicts")
-    good = verdicts.where("kept").select(F.col("key").alias(name)).distinct()
-    return docs.withColumn(name, row_key(docs)).join(good, name, "left_semi").select(*[docs[c] for c in docs.columns])
+    name, at = fresh(docs, "quality_key"), fresh(docs, "quality_at")
+    verdicts = written(docs.sparkSession, quality(docs, **limits).select("key", "kept", "removed_at"), "quality-verdicts")
+    good = verdicts.where("kept").dropDuplicates(["key"]).select(F.col("key").alias(name), F.col("removed_at").alias(at))
+    d = docs.withColumn(name, row_key(docs)).join(good, name).withColumn("text", without_lines(F.col("text"), F.col(at)))
+    if "n_chars" in docs.columns:
+        d = d.withColumn("n_chars", F.when(F.col(at).isNull(), F.col("n_chars"))
+                         .otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
+    return d.select(*docs.columns)
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
     """Contract digest over all ``documents``."""
     return quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "removed_lines", "removed_words")
+        "base_failed", "kept", "removed_lines", "removed_words", "clean_text")

@@ -92,3 +92,16 @@ def test_near_copies_count_as_one(spark):
         assert all(rows[i].kept and rows[i].removed_lines == 0 for i in range(len(g)))
         bad = set(range(len(g) + len(plain), len(g) + len(others)))
         assert {i for i in rows if not rows[i].kept} == bad and all(rows[i].removed_lines for i in bad)
+
+
+def test_boilerplate_lines_are_removed_from_the_text(spark):
+    name = [chr(97 + i // 26) + chr(97 + i % 26) for i in range(60)]
+    texts = [f"\n{BODY.replace('w', n)}\n\nAll rights reserved {i:02d}\r\n {' '.join(n + m for m in name[:10])} " for i, n in enumerate(name)]
+    want = ["\n".join(x for x in t.split("\n") if not x.startswith("All rights")) for t in texts]
+    texts, want = texts + texts[:1] + [BODY + "\nno line in common"], want + want[:1] + [BODY + "\nno line in common"]
+    df = docs_frame(spark, texts, ["h"] * len(texts), ids=[*range(60), 0, 60], extra={"quality_at": "x", "no": "y"})
+    out = keep_good(df).collect()
+    assert sorted((r.doc_id, r.text, r.n_chars) for r in out) == sorted((i, t, len(t)) for i, t in zip([*range(60), 0, 60], want))
+    rows = quality(df).collect()
+    assert sorted((r.doc_id, r.clean_text) for r in rows) == sorted(zip([*range(60), 0, 60], want))
+    assert all(r.removed_lines == (r.doc_id < 60) for r in rows)
