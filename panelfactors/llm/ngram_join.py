@@ -367,7 +367,7 @@ def components(edges: DataFrame, name: str) -> DataFrame:
 
 
 def similar_documents(docs: DataFrame) -> DataFrame:
-    """key, doc_id, n_shingles, component_id of every row."""
+    """key, doc_id, n_shingles, comp (the component itself), component_id (its least id) of every row."""
     spark = docs.sparkSession
     read = written(spark, read_sets(docs), "ngram-read")
     rows = read.where("kind = 0").drop("kind", "token")
@@ -410,7 +410,7 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     of = rows.join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     least = of.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
     return of.join(least, "comp", "left").select(
-        "key", "doc_id", F.col("n").alias("n_shingles"),
+        "key", "doc_id", F.col("n").alias("n_shingles"), "comp",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
@@ -418,9 +418,9 @@ def one_per_component(docs: DataFrame) -> DataFrame:
     """The input rows, of each component the one with the least id (then key); all rows without words stay."""
     name = fresh(docs, "join_key")
     found = written(docs.sparkSession, similar_documents(docs), "ngram-components")
-    # a component without any id is named by NULL: its rows fall back to their keys
+    # by the component itself: ids may be NULL in several components, or the same
     keep = (found.where("n_shingles > 0")
-            .groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
+            .groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")).alias("best"))
             .select(F.col("best.key").alias(name)))
     keyed = docs.withColumn(name, row_key(docs))
     words = F.coalesce(F.col("text").rlike(WORD), F.lit(False))

@@ -166,3 +166,12 @@ def test_cut_on_both_sides_is_linked(spark):
         texts += [" ".join(w), " ".join(w[:-9]), " ".join(w[9:])]
     rows = {r.doc_id: r.component_id for r in similar_documents(docs_frame(spark, texts)).collect()}
     assert all(rows[i] == i // 3 * 3 for i in rows)
+
+
+def test_components_with_null_or_repeated_ids_keep_one_row_each(spark):
+    texts = [f"{x} text that is like no other {x} one {x}" for x in ("red", "green", "blue", "black", "white")]
+    texts += texts[:2] + [texts[3].upper()]
+    ids = [None, None, None, 7, 7, None, None, 7]
+    kept = one_per_component(docs_frame(spark, texts, ids=ids)).collect()
+    assert sorted(r.text.lower() for r in kept) == sorted(texts[:5])
+    assert sorted(str(r.doc_id) for r in kept) == ["7", "7", "None", "None", "None"]
