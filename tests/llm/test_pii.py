@@ -84,3 +84,19 @@ def test_query_digest(spark, sample_texts):
         joined = ",".join(f"{k}:{s}:{e}" for k, s, e in spans)
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(s[0] == k for s in spans) for k in RANK)
+
+
+def test_added_kinds_end_before_what_follows(spark):
+    de, de4 = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    cases = [(f"IBAN {de4} Thanks", "iban", de4), (f"account {de} Please", "iban", de), (f"bank {de4} 2024", "iban", de4),
+             (f"bank {de4} A", "iban", de4), ("bank NO93 8601 1117 947 For 1", "iban", "NO93 8601 1117 947"),
+             ("bank GB29 NWBK 6016 1331 9268 19 GB29", "iban", "GB29 NWBK 6016 1331 9268 19"), (f"call {de4}", "iban", de4),
+             ("call 555 123 4567 2024", "tel", "555 123 4567"), ("call (555) 123-4567 42424", "tel", "(555) 123-4567"),
+             ("call 01 23 45 67 89 2024", "tel", "01 23 45 67 89"), ("call 1234 1234 1234", "tel", "1234 1234 1234")]
+    two = "bank DE89370400440532013000 GB29NWBK60161331926819, call 555 123 4567 555 765 4321 (phone)"
+    rows = got(pii_spans(docs_frame(spark, [c[0] for c in cases] + [two, f"{de4}X", "card 4539 1488 0343 6467 phone", "7 " * 4000 + "call"])))
+    for row, (text, kind, span) in zip(rows, cases):
+        assert [(k, text[s:e]) for k, s, e in row if k not in PLAIN] == [(kind, span)], text
+    assert [two[s:e] for k, s, e in rows[len(cases)] if k not in PLAIN] == [
+        "DE89370400440532013000", "GB29NWBK60161331926819", "555 123 4567", "555 765 4321"]
+    assert [[k for k, _, _ in r if k not in PLAIN] for r in rows[-3:]] == [[], [], []]
