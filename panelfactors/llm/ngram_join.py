@@ -13,8 +13,9 @@ joined, documents only carry their class.
    Each set is verified against the leader it shares most lists with; a group
    of near copies then hangs together by one link a set, not by all its pairs.
    The differences to the pivot are kept.
-3. Remaining pairs.  Only lists whose sets lie in different components matter,
-   and only pairs across components.  A list is cut into blocks by position and
+3. Remaining pairs.  For components only lists whose sets lie in different
+   components matter, and only pairs across components; to count links (op2),
+   all pairs of different sets are verified.  A list is cut into blocks by position and
    size, and a pair of blocks is skipped when even its best bound (remaining
    tokens and those passed, sizes) misses the threshold.  Long lists are cut into parts that are
    paired in separate tasks.  Two sets with the same pivot are not intersected
@@ -279,13 +280,15 @@ def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
-def remaining_pairs(posts: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b) of classes in different components that share enough indexed tokens.
+def remaining_pairs(posts: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) of classes in different components (all classes without ``comps``) that share enough indexed tokens.
 
     A linked pair meets in the lists of its first SHARED common tokens, so each
     of these has to count; the bound without tokens passed holds in the first.
     """
-    p = posts.join(comps.select("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    p = posts.withColumn("comp", F.col("c"))
+    if comps is not None:
+        p = posts.join(comps.select("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     mixed = (p.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .where("lo <> hi").select("token", F.expr(f"CAST(ceil(m / {PART}) AS int)").alias("parts")))
     p = p.join(mixed, "token").withColumn("part", F.expr("CAST(pmod(xxhash64(c), parts) AS int)"))
@@ -366,8 +369,25 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         e.select(F.col("b").alias("c"), F.col("b").alias("comp")).distinct())
 
 
-def similar_documents(docs: DataFrame) -> DataFrame:
-    """key, doc_id, n_shingles, comp (the component itself), component_id (its least id) of every row."""
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+
+def link_counts(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """(c, n_links): the other rows that a row of the class is linked with, those of its own class included."""
+    sizes = rows.where("n > 0").groupBy("c").agg(F.count(F.lit(1)).alias("m"))
+    both = ordered(links).distinct()
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(sizes.select(F.col("c").alias("b"), "m"), "b").groupBy(F.col("a").alias("c")).agg(F.sum("m").alias("others"))
+    return sizes.join(others, "c", "left").select("c", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+
+
+def similar_documents(docs: DataFrame, count_links: bool = False) -> DataFrame:
+    """key, doc_id, n_shingles, comp (the component itself), component_id (its least id) of every row.
+
+    ``count_links``: n_links too, the number of other rows linked with the row;
+    for that every pair of classes is verified, also within a component.
+    """
     spark = docs.sparkSession
     read = written(spark, read_sets(docs), "ngram-read")
     rows = read.where("kind = 0").drop("kind", "token")
@@ -388,8 +408,12 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     pivots = written(spark, verify_pivots(led, sets), "ngram-pivots")
     links = pivots.where("link").select(F.col("c").alias("a"), F.col("pivot").alias("b"))
 
-    # remaining pairs across the components so far
-    pairs = written(spark, remaining_pairs(posts, components(links, "ngram-first")), "ngram-pairs")
+    # remaining pairs: all but those verified, or those across the components so far
+    if count_links:
+        pairs = remaining_pairs(posts, None).join(ordered(pivots.select(F.col("c").alias("a"), F.col("pivot").alias("b"))), ["a", "b"], "left_anti")
+    else:
+        pairs = remaining_pairs(posts, components(links, "ngram-first"))
+    pairs = written(spark, pairs, "ngram-pairs")
 
     def side(s):
         return pivots.select(F.col("c").alias(s), *[F.col(x).alias(f"{s}_{x}") for x in ("pivot", "n", "plus", "minus")], F.col("pivot_n").alias(f"{s}_pivot_n"))
@@ -405,13 +429,19 @@ def similar_documents(docs: DataFrame) -> DataFrame:
     full = full_links(rest.join(every.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
                       .join(every.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b"))
     found = written(spark, derived.unionByName(full), "ngram-links")
-    comps = components(links.unionByName(found), "ngram-last")
+    links = links.unionByName(found)
+    comps = components(links, "ngram-last")
 
     of = rows.join(comps, "c", "left").withColumn("comp", F.coalesce("comp", "c"))
     least = of.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return of.join(least, "comp", "left").select(
+    out = of.join(least, "comp", "left")
+    counts = []
+    if count_links:
+        out = out.join(link_counts(rows, links), "c", "left")
+        counts = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")]
+    return out.select(
         "key", "doc_id", F.col("n").alias("n_shingles"), "comp",
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), *counts)
 
 
 def one_per_component(docs: DataFrame) -> DataFrame:
@@ -429,5 +459,6 @@ def one_per_component(docs: DataFrame) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    """Contract digest over all ``documents``."""
-    return similar_documents(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+    """Contract digest over all ``documents``, and the number of links of each."""
+    return similar_documents(table(spark, sf_dir, "documents"), count_links=True).select(
+        "doc_id", "n_shingles", "component_id", "n_links")

@@ -175,3 +175,14 @@ def test_components_with_null_or_repeated_ids_keep_one_row_each(spark):
     kept = one_per_component(docs_frame(spark, texts, ids=ids)).collect()
     assert sorted(r.text.lower() for r in kept) == sorted(texts[:5])
     assert sorted(str(r.doc_id) for r in kept) == ["7", "7", "None", "None", "None"]
+
+
+def test_links_are_counted_within_components(spark):
+    r = random.Random(5)
+    texts = cut_groups(r, (20, 60, 110), 6) + near_copies(r, [f"n{i}" for i in range(200)], 50, 6) + ["same words here now"] * 3 + ["", None]
+    ids = list(range(len(texts)))
+    sets = brute_sets(texts)
+    want = [sum(1 for j, y in enumerate(sets) if i != j and x and 100 * len(x & y) >= 90 * len(x | y)) for i, x in enumerate(sets)]
+    df = similar_documents(docs_frame(spark, texts, ids=ids), count_links=True)
+    assert {x.doc_id: x.n_links for x in df.collect()} == dict(zip(ids, want))
+    assert got(df) == sorted(brute(texts, ids), key=repr)
