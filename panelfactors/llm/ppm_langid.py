@@ -13,9 +13,9 @@ name); ``score`` is its share of the posterior with equal priors.
 Training uses at most ``TRAIN_DOCS`` documents a language, those of the least
 crc32 of their id among the documents that are not held out (crc32 mod 4 is not
 2) and have a language: a bounded, documented sample.  Their counts are
-summed in Spark and sent to the tasks, where the tables are built; contexts are
-pruned to the ``MAX_CONTEXTS`` most frequent a language and order, so the size
-sent is bounded too.  Prediction covers every document and reads only the text.
+summed in Spark and sent to the tasks, where the tables are built.  No context
+is dropped: beyond the ``MAX_CONTEXTS`` most frequent of ORDER bytes a language,
+only the bytes seen are stored, not a row of 256.  Prediction covers every document and reads only the text.
 
 NULL text, or one without a letter: ``und`` with score 0.  NULL doc_id: not held
 out, and not used in training.  Without training data everything is ``und``.
@@ -73,6 +73,8 @@ class Model:
 
     ``context``: for each value of ORDER bytes, the row of its longest counted
     suffix; ``bits[row, byte]``: the exact code length of a byte there.
+    A negative value is ``-1 - i`` of a rarer context of ORDER bytes: ``rare_*``
+    hold its escape, the row of its suffix and, by gram, the bytes seen.
     """
 
     def __init__(self, gram: np.ndarray, n: np.ndarray):
@@ -82,13 +84,21 @@ class Model:
             ctx_of = (gram >> 8) & ((1 << (8 * order)) - 1)
             ctx, row = np.unique(ctx_of, return_inverse=True)
             total = np.bincount(row, n)
-            if len(ctx) > MAX_CONTEXTS:
+            if order == ORDER:
                 keep = np.sort(np.argsort(-total, kind="stable")[:MAX_CONTEXTS])
                 where = np.full(len(ctx), -1)
                 where[keep] = np.arange(len(keep))
                 used = where[row] >= 0
+                rare = np.flatnonzero(where < 0)
+                d = np.bincount(row, minlength=len(ctx))        # a gram of ORDER + 1 bytes is there once
+                by = np.flatnonzero(~used)[np.argsort(gram[~used])]
+                self.rare_gram = gram[by]
+                self.rare_bits = -np.log2(n[by] / (total[row[by]] + d[row[by]]))
+                self.rare_escape = -np.log2(d[rare] / (total[rare] + d[rare]))
+                rare_ctx = ctx[rare]
+                self.rare_up = parent_row[rare_ctx & ((1 << (8 * (order - 1))) - 1)].astype(np.int64)
                 ctx, rows, sym, cnt = ctx[keep], where[row[used]], gram[used] & 255, n[used]
-            else:
+            else:                                               # at most 65,536 contexts
                 rows, sym, cnt = row, gram & 255, n
             counts = np.zeros((len(ctx), 256))
             np.add.at(counts, (rows, sym), cnt)
@@ -102,10 +112,20 @@ class Model:
             here[ctx] = len(bits) + np.arange(len(ctx))
             bits = np.concatenate([bits, own])
             parent_row = here
+        parent_row[rare_ctx] = -1 - np.arange(len(rare_ctx))
         self.context, self.bits = parent_row, bits.astype(np.float32).ravel()
 
     def cost(self, gram: np.ndarray) -> np.ndarray:
-        return self.bits[self.context[gram >> np.uint32(8)].astype(np.int64) * 256 + (gram & np.uint32(255))]
+        row, byte = self.context[gram >> np.uint32(8)].astype(np.int64), gram & np.uint32(255)
+        if not len(self.rare_gram):
+            return self.bits[row * 256 + byte]
+        out = self.bits[np.maximum(row, 0) * 256 + byte]
+        at = np.flatnonzero(row < 0)
+        i = -1 - row[at]
+        j = np.minimum(np.searchsorted(self.rare_gram, gram[at]), len(self.rare_gram) - 1)
+        out[at] = np.where(self.rare_gram[j] == gram[at], self.rare_bits[j],
+                           self.rare_escape[i] + self.bits[self.rare_up[i] * 256 + byte[at]])
+        return out
 
 
 def predict(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:

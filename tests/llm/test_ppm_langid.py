@@ -74,3 +74,14 @@ def test_held_out_accuracy(spark):
     got = op9_language_id(spark, sf).where("held_out").join(docs, "doc_id").collect()
     assert len(got) > 200
     assert sum(r.lang_pred == r.true for r in got) / len(got) > 0.95
+
+
+def test_rare_contexts_are_kept(monkeypatch):
+    """More contexts than get a row of their own: the code lengths stay those of all statistics."""
+    monkeypatch.setattr(P, "MAX_CONTEXTS", 20)
+    train = ("".join(chr(0x4E00 + i * 37 % 900) for i in range(700)) + "the cat and the hat sat on the mat, then they met").encode()
+    g, n = np.unique(grams(np.frombuffer(train, np.uint8)), return_counts=True)
+    model = Model(g.astype(np.int64), n.astype(np.int64))
+    for text in ("the cat", train[:300].decode(), train[600:900].decode() + " zzz", "一二三 mat", ""):
+        data = text.encode()
+        assert abs(model.cost(grams(np.frombuffer(data, np.uint8))).sum() - brute_bits(train, data)) < 1e-2, text
