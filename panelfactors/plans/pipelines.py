@@ -152,12 +152,17 @@ def momentum_groups(inp: FactorInputs, method: str | None = None,
     Like the reference's code (not its prose), financial companies stay in the
     momentum sorts; ``exclude_pattern`` drops them before sorting.
     """
-    mom_specs = [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")]
-    cap_specs = [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")]
     mom, caps = momentum(inp.monthret), month_end_cap(inp.marketcap)
     if exclude_pattern is not None:
         mom = exclude_industry(mom, inp.listings, exclude_pattern)
         caps = exclude_industry(caps, inp.listings, exclude_pattern)
+    return momentum_sorts(mom, caps, method)
+
+
+def momentum_sorts(mom: DataFrame, caps: DataFrame, method: str | None = None) -> DataFrame:
+    """The two sorts of ``momentum_groups`` over given signals and month-end caps, joined."""
+    mom_specs = [("mom", S.TERCILE_CUTS, S.MOM_LABELS, "g_mom")]
+    cap_specs = [("MC", S.SIZE_CUTS, S.SIZE_LABELS, "g_size")]
     if (method or DEFAULT_METHOD) == "edges":
         mom, caps = bucket_frames([(mom, ["mom_month"], mom_specs), (caps, ["mc_month"], cap_specs)])
     else:
@@ -175,11 +180,16 @@ def momentum_factor_table(inp: FactorInputs, freq: str, bounds: MomentumBounds =
     _check_freq(freq)
     if groups is None:
         groups = momentum_groups(inp, method, exclude_pattern)
-    ret = with_momentum_months(returns(inp, freq), "ret_date", **bounds.kwargs()).drop("mc_month")
+    wide = momentum_wide(returns(inp, freq), groups, bounds)
+    return {"wide": wide, "long": to_long(wide)}
+
+
+def momentum_wide(ret: DataFrame, groups: DataFrame, bounds: MomentumBounds = MomentumBounds()) -> DataFrame:
+    """Wide momentum table of returns (stock_id, ret_date, ret) over given groups."""
+    ret = with_momentum_months(ret, "ret_date", **bounds.kwargs()).drop("mc_month")
     panel = attach_groups(ret, groups.drop("mc_month"), ["stock_id", "mom_month"])
     long = vw_return(panel, "g_size", ["g_mom"], S.MOMENTUM_SEP)
-    wide = momentum_spread(to_wide(long, S.MOM_PORTS)).select("ret_date", *S.MOM_PORTS, "UMD")
-    return {"wide": wide, "long": to_long(wide)}
+    return momentum_spread(to_wide(long, S.MOM_PORTS)).select("ret_date", *S.MOM_PORTS, "UMD")
 
 
 def six_factor(five_wide: DataFrame, umd_wide: DataFrame) -> dict[str, DataFrame]:
