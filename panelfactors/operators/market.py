@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.dates import month_key, parse_slash_date
 from ..functions.guards import require_unique
+from ..functions.sweep import asof_fill
 
 
 def index_return(index: DataFrame, freq: str, denominator: str = "current") -> DataFrame:
@@ -53,10 +54,8 @@ def risk_free(bond: DataFrame, freq: str, index_days: DataFrame | None = None) -
         rf = b.select(F.col("date").alias("ret_date"),
                       (F.col("close") / F.lit(float(S.DAILY_RATE_DIVISOR))).alias("_rf"))
         days = index_days.select("ret_date").distinct()
-        w = (Window.partitionBy(F.lit(0)).orderBy("ret_date")
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return (days.join(rf, "ret_date", "left")
-                .select("ret_date", F.last("_rf", ignorenulls=True).over(w).alias("RFrate")))
+        seen = rf.join(days, "ret_date", "left_semi").withColumnRenamed("_rf", "RFrate")
+        return asof_fill(days, seen, "ret_date")
     raise ValueError("freq must be 'month' or 'day'")
 
 

@@ -11,21 +11,21 @@ from ..functions.guards import fail_when
 
 
 def period_last(df: DataFrame, keys: list[str], period: Column, period_name: str,
-                order: str, value: str, alias: str) -> DataFrame:
+                order: str, value: str, alias: str, within_month: bool = False) -> DataFrame:
     """Last ``value`` per entity and period by ``order``.
 
     ``max_by`` on a primitive ordering is a hash aggregate that combines
     map-side before the shuffle; a NULL value at the last date stays NULL.
     Sources are keyed by (entity, date); a repeated date within a year or
     shorter period fails the job.  The check is part of the same aggregation:
-    the days seen are bits (of ``_DAY_WORDS`` long values), and their sum
-    differs from their OR exactly when a day repeats.
+    the days seen are bits (of ``_DAY_WORDS`` long values, of one where no period
+    exceeds a month), and their sum differs from their OR exactly when a day repeats.
     """
-    day = F.dayofyear(order) - 1
+    day = (F.dayofmonth(order) if within_month else F.dayofyear(order)) - 1
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), day % _DAY_BITS)
     aggs = [F.max_by(value, order).alias(alias)]
     repeated = F.lit(False)
-    for w in range(_DAY_WORDS):
+    for w in range(1 if within_month else _DAY_WORDS):
         here = F.when(F.floor(day / _DAY_BITS) == w, bit)
         aggs += [F.sum(here).alias(f"_sum{w}"), F.bit_or(here).alias(f"_or{w}")]
         repeated = repeated | F.coalesce(F.col(f"_sum{w}") != F.col(f"_or{w}"), F.lit(False))
@@ -46,7 +46,7 @@ def year_end_cap(marketcap: DataFrame) -> DataFrame:
 
 def month_end_cap(marketcap: DataFrame) -> DataFrame:
     """Last market value of each stock and month (zero caps kept)."""
-    return period_last(marketcap, ["stock_id"], month_key("date"), "mc_month", "date", "market_value", "MC")
+    return period_last(marketcap, ["stock_id"], month_key("date"), "mc_month", "date", "market_value", "MC", within_month=True)
 
 
 def widen_statement(df: DataFrame, items: list[str], keys=("date", "stock_id")) -> DataFrame:

@@ -461,3 +461,63 @@ SELECT {_ADJ_OUT} FROM (
   SELECT * FROM adjprice a WHERE date < DATE '2000-07-01'
     AND NOT EXISTS (SELECT 1 FROM adjprice b WHERE b.date >= DATE '2000-06-01'
                     AND b.date = a.date AND b.stock_id = a.stock_id))""", ["adjprice"])
+
+# ---- as-of values, ranks, products ----------------------------------------
+for _key, _limit in (("asof_book_day", None), ("asof_book_recent", 60)):
+    _take = "b.{c}" if _limit is None else f"CASE WHEN date_diff('day', b.date, m.date) <= {_limit} THEN b.{{c}} END"
+    SQL[_key] = build(f"""
+SELECT m.date, m.stock_id, m.market_value,
+       round({_take.format(c="Equity")}, {R}) + 0.0 AS Equity, round({_take.format(c="TotalAssets")}, {R}) + 0.0 AS TotalAssets
+FROM marketcap m ASOF LEFT JOIN wb b ON m.stock_id = b.stock_id AND m.date >= b.date""", ["marketcap", "wb"])
+SQL["rank_stocks_month"] = build(f"""
+SELECT stock_id, month, round(ret, {R}) + 0.0 AS ret,
+       CASE WHEN ret IS NOT NULL THEN rank() OVER (PARTITION BY month ORDER BY ret DESC NULLS LAST)
+            + (count(*) OVER (PARTITION BY month, ret) - 1) / 2.0::DOUBLE END AS rank
+FROM monthret""", ["monthret"])
+SQL["rank_stocks_all"] = build("""
+SELECT date, stock_id, market_value, rank() OVER (ORDER BY market_value DESC)
+       + (count(*) OVER (PARTITION BY market_value) - 1) / 2.0::DOUBLE AS rank
+FROM marketcap""", ["marketcap"])
+SQL["cumret_stock_day"] = build(f"""
+SELECT stock_id, date, round(ret, {R}) + 0.0 AS ret,
+       CASE WHEN ret IS NOT NULL THEN round(100 * product(1 + ret) OVER (PARTITION BY stock_id ORDER BY date), {R}) + 0.0 END AS cumret
+FROM dayret""", ["dayret"])
+
+# ---- bulk load, keyed landing, upkeep, contracts --------------------------
+_SPOILED = [("3", 0), ("6", 1), ("9", 2), ("12", 3)]
+_IS_SPOILED = " OR ".join(f"(CAST(stock_id AS BIGINT) % 4 = {k} AND month(date) = {m})" for m, k in _SPOILED)
+SQL["bulk_load_rows"] = build(f"""
+SELECT date, stock_id, type, round(value, {R}) + 0.0 AS value,
+       CASE WHEN CAST(stock_id AS BIGINT) % 5 = 0 THEN origin_name || ' "A", x' || chr(10) || 'y' ELSE origin_name END AS origin_name
+FROM balancesheet WHERE NOT ({_IS_SPOILED})""", ["balancesheet"])
+SQL["bulk_load_rejects"] = build(f"""
+SELECT CASE month(date) WHEN 3 THEN strftime(date, '%Y-%m-%d') || ',' || stock_id || ',' || type || ',n/a,x'
+                        WHEN 6 THEN strftime(date, '%Y-%m-%d') || ',' || stock_id || ',' || type
+                        WHEN 9 THEN strftime(date, '%Y-%m-%d') || ',' || stock_id || ',' || type || ',1.5,a,b'
+                        ELSE year(date) || '-13-31,' || stock_id || ',' || type || ',1.5,a' END AS record,
+       CASE month(date) WHEN 3 THEN 'value: not a double' WHEN 12 THEN 'date: not a date' ELSE 'number of fields' END AS reason
+FROM balancesheet WHERE {_IS_SPOILED}""", ["balancesheet"])
+SQL["landed_upsert"] = build(f"""
+SELECT date, stock_id, type, round(CASE WHEN date < DATE '1996-07-01' THEN value + 1 ELSE value END, {R}) + 0.0 AS value, origin_name
+FROM balancesheet""", ["balancesheet"])
+SQL["incremental_umd_month"] = SQL["umd_month"]
+_RULES = {
+    "marketcap": [("date not null", "date IS NULL"), ("stock_id not null", "stock_id IS NULL"),
+                  ("market_value not null", "market_value IS NULL"), ("market_value >= 0", "market_value < 0"),
+                  ("market_value <= 100000", "market_value > 100000"), ("stock_id up to 20 characters", "length(stock_id) > 20"),
+                  ("key date, stock_id", "")],
+    "monthret": [("stock_id not null", "stock_id IS NULL"), ("month not null", "month IS NULL"), ("ret not null", "ret IS NULL"),
+                 ("ret >= -1", "ret < -1"), ("stock_id up to 20 characters", "length(stock_id) > 20"), ("key stock_id, month", "")],
+    "dayret": [("stock_id not null", "stock_id IS NULL"), ("date not null", "date IS NULL"), ("ret not null", "ret IS NULL"),
+               ("ret >= -1", "ret < -1"), ("ret <= 0.5", "ret > 0.5"), ("key stock_id, date", "")],
+    "balancesheet": [("date not null", "date IS NULL"), ("stock_id not null", "stock_id IS NULL"), ("type not null", "type IS NULL"),
+                     ("value not null", "value IS NULL"), ("value >= 0", "value < 0"),
+                     ("origin_name up to 6 characters", "length(origin_name) > 6"), ("type in Equity", "type <> 'Equity'"),
+                     ("key date, stock_id", "")],
+}
+SQL["contract_report"] = build(" UNION ALL ".join(
+    f"""SELECT '{t}' AS "table", '{name}' AS rule, """
+    + (f"count(*) FILTER (WHERE {bad})" if bad else f"count(*) - count(DISTINCT ({name.removeprefix('key ')}))")
+    + f""" AS violations, count(*) AS "rows" FROM {t}"""
+    for t, rules in _RULES.items() for name, bad in rules), list(_RULES))
+SQL["listing_csv"] = build("SELECT stock_id, industry FROM listing", ["listing"])

@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from ..functions.contracts import Contract
+from ..functions.contracts import contract_report as _contract_report
 from ..functions.stats import percentiles, qbucket
+from ..functions.sweep import asof_fill, average_rank, running_product
 from ..operators.calendars import monthly_calendar as _monthly_calendar
 from ..operators.calendars import rebalance_calendar as _rebalance_calendar
 from ..operators.calendars import with_momentum_months
@@ -29,12 +32,15 @@ from ..operators.snapshots import (annual_balance, annual_operating_profit, mont
                                    widen_statement, year_end_cap)
 from ..session import scratch_path
 from ..sources import adapter as A
+from ..sources.bulk_load import bulk_load
 from ..sources.landing import land_json as _land_json
 from ..sources.landing import merge_extracts as _merge_extracts
 from ..sources.landing import universe as _universe
 from ..sources.landing import write_csv, write_envelopes
-from ..sources.readers import read_return_csv
+from ..sources.readers import LISTING_HEADERS, read_listing, read_return_csv
+from ..streaming.upsert import read_current, start_upsert
 from . import pipelines as P
+from .upkeep import FactorStore
 
 DATA_BOUNDS = P.YearlyBounds(A.DATA_RET_START, A.DATA_RET_END, A.DATA_GROUP_START, A.DATA_GROUP_END)
 PATTERN = A.FINANCIAL_PATTERN
@@ -388,6 +394,127 @@ def q_csv_roundtrip(spark, sf):
     return rounded(read_return_csv(spark, path))
 
 
+# ---------------------------------------------------------------------------
+# as-of values, ranks and products over range slices
+# ---------------------------------------------------------------------------
+
+def _book(spark, sf):
+    return widen_statement(inputs(spark, sf).balancesheet, S.BALANCE_ITEMS)
+
+
+def q_asof_book_day(spark, sf):
+    """Every stock-day with the book values of its stock's last statement."""
+    return rounded(asof_fill(inputs(spark, sf).marketcap, _book(spark, sf), "date", ["stock_id"]))
+
+
+def q_asof_book_recent(spark, sf):
+    """The same, statements of the last 60 days only."""
+    return rounded(asof_fill(inputs(spark, sf).marketcap, _book(spark, sf), "date", ["stock_id"], max_age_days=60))
+
+
+def q_rank_stocks_month(spark, sf):
+    return rounded(average_rank(inputs(spark, sf).monthret, "ret", ["month"]))
+
+
+def q_rank_stocks_all(spark, sf):
+    """All stock-days of all time in one ranking of their caps."""
+    return average_rank(inputs(spark, sf).marketcap, "market_value")
+
+
+def q_cumret_stock_day(spark, sf):
+    return rounded(running_product(inputs(spark, sf).dayret, "ret", "date", ["stock_id"], out="cumret", base=100.0))
+
+
+# ---------------------------------------------------------------------------
+# bulk load, keyed landing, upkeep, contracts
+# ---------------------------------------------------------------------------
+
+def _staged_statements(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """The balance sheet staged as CSV text and loaded back.
+
+    Some texts hold quotes, separators and line ends; four kinds of records are
+    spoiled, one each by quarter and by the stock's number modulo 4.
+    """
+    b = inputs(spark, sf).balancesheet
+    sid, month, day = F.col("stock_id").cast("long"), F.month("date"), F.date_format("date", "yyyy-MM-dd")
+    text = F.when(sid % 5 == 0, F.concat(F.lit('"'), F.col("origin_name"), F.lit(' ""A"", x\ny"'))).otherwise(F.col("origin_name"))
+    good = F.concat_ws(",", day, "stock_id", "type", F.col("value").cast("string"), text)
+    line = (F.when((sid % 4 == 0) & (month == 3), F.concat_ws(",", day, "stock_id", "type", F.lit("n/a,x")))
+            .when((sid % 4 == 1) & (month == 6), F.concat_ws(",", day, "stock_id", "type"))
+            .when((sid % 4 == 2) & (month == 9), F.concat_ws(",", day, "stock_id", "type", F.lit("1.5,a,b")))
+            .when((sid % 4 == 3) & (month == 12), F.concat_ws(",", F.concat(F.year("date"), F.lit("-13-31")), "stock_id", "type",
+                                                              F.lit("1.5,a"))).otherwise(good))
+    path = scratch_path(spark, "staged-statements")
+    b.select(line.alias("value")).write.text(path)
+    return bulk_load(spark, path, S.STATEMENT, header=False)
+
+
+def q_bulk_load_rows(spark, sf):
+    return rounded(_staged_statements(spark, sf)[0])
+
+
+def q_bulk_load_rejects(spark, sf):
+    return _staged_statements(spark, sf)[1].select("record", "reason")
+
+
+def q_landed_upsert(spark, sf):
+    """Two downloads of statements through the stream, the second correcting the first, then the first once more."""
+    b = inputs(spark, sf).balancesheet
+    first = b.where(F.col("date") < F.lit("1997-01-01").cast("date")).withColumn("value", F.col("value") + 1.0)
+    second = b.where(F.col("date") >= F.lit("1996-07-01").cast("date"))
+    src, table, state = (scratch_path(spark, f"upsert-{x}") for x in ("files", "table", "state"))
+    version = F.regexp_extract("_metadata.file_path", "wave-([0-9]+)", 1).cast("int")
+    for name, wave in (("wave-1", first), ("wave-2", second), ("wave-1-again", first)):
+        write_envelopes(wave, "stock_id", f"{src}/{name}")
+        start_upsert(spark, src, S.STATEMENT, ["date", "stock_id", "type"], table, state, version).awaitTermination()
+    return rounded(read_current(spark, table, S.STATEMENT))
+
+
+def q_incremental_umd_month(spark, sf):
+    """The momentum table of a store built from an older extract with faults, after the newer extract is taken over."""
+    inp = inputs(spark, sf)
+    sid, split, since = F.col("stock_id").cast("long"), F.lit("1997-07-01").cast("date"), F.lit("1997-04-01").cast("date")
+    late = F.col("month") >= since
+    old_r = (inp.monthret.where((F.col("month") < split) & ~(late & (sid % 7 == 0)))
+             .withColumn("ret", F.when(late & (sid % 5 == 0), F.col("ret") + 0.1).otherwise(F.col("ret"))))
+    old_c = (inp.marketcap.where(F.col("date") < split)
+             .withColumn("market_value", F.when((F.col("date") >= since) & (sid % 3 == 0), F.col("market_value") * 2)
+                         .otherwise(F.col("market_value"))))
+    store = FactorStore(spark, scratch_path(spark, "factor-store")).build(old_r, old_c)
+    store.apply_extract(inp.monthret.where(late), inp.marketcap.where(F.col("date") >= since))
+    return rounded(store.factors())
+
+
+CONTRACTS = [
+    Contract("marketcap", S.MARKETCAP, ("date", "stock_id"), ("date", "stock_id", "market_value"),
+             least={"market_value": 0}, most={"market_value": 100_000}, longest={"stock_id": 20}),
+    Contract("monthret", S.MONTHRET, ("stock_id", "month"), ("stock_id", "month", "ret"), least={"ret": -1}, longest={"stock_id": 20}),
+    Contract("dayret", S.DAYRET, ("stock_id", "date"), ("stock_id", "date", "ret"), least={"ret": -1}, most={"ret": 0.5}),
+    Contract("balancesheet", S.STATEMENT, ("date", "stock_id"), ("date", "stock_id", "type", "value"),
+             least={"value": 0}, longest={"origin_name": 6}, allowed={"type": ("Equity",)}),
+]
+
+
+def q_contract_report(spark, sf):
+    """The rules of four tables; some are set so that the data break them."""
+    inp = inputs(spark, sf)
+    out = None
+    for c in CONTRACTS:
+        one = _contract_report(getattr(inp, c.name), c)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def q_listing_csv(spark, sf):
+    """Listing files with the headers of their source, written and read back."""
+    t = A.finance_tables(spark, sf)
+    source = {v: k for k, v in LISTING_HEADERS.items()}
+    path = scratch_path(spark, "staged-listing")
+    listing = t.listing_tse().unionByName(t.listing_otc()).select("stock_id", "industry")
+    write_csv(listing.withColumn("note", F.lit('a "b", c')).withColumnsRenamed(source), path)
+    return read_listing(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_end_cap": q_year_end_cap,
     "month_end_cap": q_month_end_cap,
@@ -448,6 +575,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "top_rows": q_top_rows,
     "land_json": q_land_json,
     "csv_roundtrip": q_csv_roundtrip,
+    "asof_book_day": q_asof_book_day,
+    "asof_book_recent": q_asof_book_recent,
+    "rank_stocks_month": q_rank_stocks_month,
+    "rank_stocks_all": q_rank_stocks_all,
+    "cumret_stock_day": q_cumret_stock_day,
+    "bulk_load_rows": q_bulk_load_rows,
+    "bulk_load_rejects": q_bulk_load_rejects,
+    "landed_upsert": q_landed_upsert,
+    "incremental_umd_month": q_incremental_umd_month,
+    "contract_report": q_contract_report,
+    "listing_csv": q_listing_csv,
 }
 
 # keys without an SQL oracle
