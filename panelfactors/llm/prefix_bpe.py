@@ -14,13 +14,13 @@ each byte, so that
 A whole piece that is a token gets that token, as in the rank files' library,
 also where merging would not make it.  Texts are cut into pieces by the fixed
 pattern of the rank files; a column's pieces are found by character classes,
-each distinct piece of a block is encoded once by its prefix table.
+the distinct pieces of a block are encoded once, in one prefix table.
 
 The rank file is read on the driver (its path is a parameter) and broadcast:
 its size is that of the vocabulary.  NULL text counts as empty: no ids.  Rows
 are independent (no shuffle): repeated rows repeat their result, an empty table
-gives none, other columns are ignored.  Memory is bounded by a block of
-``columnar.BLOCK`` characters or the longest text.
+gives none, other columns are ignored.  Memory is bounded by a block of four
+times ``columnar.BLOCK`` characters or the longest text.
 """
 
 from __future__ import annotations
@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .columnar import OTHER, SPACE, Characters, blocks, char_classes, expand, slices
+from .columnar import BLOCK, OTHER, SPACE, Characters, blocks, char_classes, expand, slices
 from .common import table, text_of
 
 #: pairs whose verdict a worker remembers; more are judged again
@@ -61,6 +61,7 @@ class Vocabulary:
             if t not in self.whole:
                 self.automaton.add_word(t.decode("latin-1"), (i, len(t)))
         self.automaton.make_automaton()
+        self.sizes = {i: len(t) for i, t in self.tokens.items()}
         size = max(self.tokens) + 1
         self.column = pa.array([self.tokens.get(i, b"") for i in range(size)], pa.binary())
 
@@ -144,8 +145,43 @@ class Prefixes:
         return out[::-1]
 
 
+def encode_pieces(v: Vocabulary, pieces: list[bytes]) -> list[list[int]]:
+    """The ids of each piece, from one prefix table over all pieces side by side.
+
+    A character that is in no token stands between two pieces, so no token crosses.
+    """
+    if not pieces:
+        return []
+    text = "\u0100".join([p.decode("latin-1") for p in pieces])
+    last = [-1] * (len(text) + 1)
+    begins, at = [], 0
+    for p in pieces:
+        last[at] = -2   # the empty prefix of a piece: any token may follow
+        begins.append(at)
+        at += len(p) + 1
+    known, fits = v.pairs, v.fits
+    for end, (token, size) in v.automaton.iter(text):
+        if last[end + 1] == -1:
+            before = last[end + 1 - size]
+            if before == -2:
+                last[end + 1] = token
+            elif (ok := known.get((before, token))) or (ok is None and fits(before, token)):
+                last[end + 1] = token
+    out, tokens, whole = [], v.sizes, v.whole
+    for p, begin in zip(pieces, begins):
+        i, ids = begin + len(p), []
+        while i > begin:
+            ids.append(last[i])
+            i -= tokens[last[i]]
+        ids.reverse()
+        out.append(ids)
+    if whole:
+        out = [[whole[p]] if p in whole else ids for p, ids in zip(pieces, out)]
+    return out
+
+
 def encode_piece(v: Vocabulary, piece: bytes) -> list[int]:
-    return [v.whole[piece]] if piece in v.whole else Prefixes(v, piece).ids()
+    return encode_pieces(v, [piece])[0]
 
 
 def piece_starts(chars: Characters, classes: np.ndarray) -> np.ndarray:
@@ -184,7 +220,7 @@ def encode_texts(v: Vocabulary, classes: np.ndarray, texts: list[str]) -> tuple[
     starts = piece_starts(chars, classes)
     places = chars.byte_places()[np.concatenate((starts, [len(chars.points)]))]
     pieces = slices(chars.bytes, places).dictionary_encode()
-    ids, at = expand([encode_piece(v, p) for p in pieces.dictionary.to_pylist()], pieces.indices.to_numpy())
+    ids, at = expand(encode_pieces(v, pieces.dictionary.to_pylist()), pieces.indices.to_numpy())
     return ids, at[np.searchsorted(starts, chars.bounds)]
 
 
@@ -210,7 +246,7 @@ def byte_bpe(docs: DataFrame, path: str, full: bool = False) -> DataFrame:
         v, classes = _ready(*sent.value, key)
         for batch in batches:
             at = 0
-            for texts in blocks(batch.column(1).to_pylist()):
+            for texts in blocks(batch.column(1).to_pylist(), 4 * BLOCK):
                 ids, bounds = encode_texts(v, classes, texts)
                 decoded, places = v.decode(ids)
                 raw, ends = ids.astype("<u4").tobytes(), places[bounds]
