@@ -176,11 +176,15 @@ def _words(phrase: str, first, n) -> str:
 
 
 def node_flow(longest: DataFrame) -> list[DataFrame]:
-    """Counts of the phrases of 1, 2, 3 and 4 words: each level is the flow of the next longer one plus the ends in it."""
+    """Counts of the phrases of 1, 2, 3 and 4 words: each level is the flow of the next longer one plus the ends in it.
+
+    Every level is written once, as the next one and the callers read it again.
+    """
     levels = [longest.where(F.col("k") == WORDS)]
     for k in range(WORDS - 1, 0, -1):
         flow = levels[0].select("lang", F.lit(k).alias("k"), F.substring_index("phrase", " ", k).alias("phrase"), "n")
-        levels.insert(0, _summed(flow.unionByName(longest.where(F.col("k") == k))))
+        level = _summed(flow.unionByName(longest.where(F.col("k") == k)))
+        levels.insert(0, written(longest.sparkSession, level, "phrase-level"))
     return levels
 
 
@@ -236,7 +240,7 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int | None = TOP) ->
     longest = written(spark, longest_phrases(docs, gate(frequent_pairs(docs, least))), "phrase-longest")
     levels = node_flow(longest)
     total = levels[0].groupBy("lang").agg(F.sum("n").alias("n"))
-    often = [written(spark, x.where(F.col("n") >= least), "phrase-often") for x in levels]
+    often = [x.where(F.col("n") >= least) for x in levels]
     known = often[0].unionByName(often[1]).unionByName(often[2]).select("lang", "phrase", "n")
     paths = written(spark, passages(often[3], often[2]), "phrase-passages")
 
