@@ -25,7 +25,7 @@ so a word, pair or passage that holds a third of the text is one row a task.
 
 Counts are per language (NULL: ``und``).  NULL and empty texts have no words;
 repeated rows count as often as they occur; an empty table gives no rows; other
-columns are ignored.  Memory is bounded by a block of ``columnar.BLOCK``
+columns are ignored.  Memory is bounded by a block of twice ``columnar.BLOCK``
 characters or the longest text.
 """
 
@@ -97,7 +97,7 @@ def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, list[str]]]:
         if text:
             texts.setdefault(lang, []).append(text)
     for lang, group in texts.items():
-        for part in blocks(group, 4 * BLOCK):
+        for part in blocks(group, 2 * BLOCK):
             yield lang, part
 
 
