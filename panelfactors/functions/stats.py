@@ -159,7 +159,7 @@ def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs)
 
     Output: ``by..., {name}__n, {name}__p{i}`` for each prob index i.
     """
-    fracs = [Fraction(str(p)) for p in probs]
+    fracs = [p if isinstance(p, Fraction) else Fraction(str(p)) for p in probs]
     targets = []
     for f in fracs:
         targets.append(("lo", (lambda n, f=f: _floor_pos(n, f)), float(f)))
@@ -300,21 +300,27 @@ def qbucket(df: DataFrame, by, col, cuts, labels, out: str, method: str | None =
     return qbuckets(df, by, [(col, cuts, labels, out)], method=method, strict=strict)
 
 
+def tied_edges(df: DataFrame, by: list[str], specs) -> DataFrame:
+    """Groups whose interpolated bin edges tie: ``by..., sort, low_cut, high_cut, edge``, one row per tied pair.
+
+    The edges (minimum, cuts, maximum) of all sorts are selected in one pass.
+    """
+    cuts = sorted({f for _, c, _, _ in specs for f in exact_cuts(c)})
+    p = percentiles(df, list(by), {name: col for col, _, _, name in specs}, cuts)
+    pairs = []
+    for _, c, _, name in specs:
+        mine = exact_cuts(c)
+        for low, high in zip(mine, mine[1:]):
+            a, b = (F.col(f"{name}__p{cuts.index(f)}") for f in (low, high))
+            pairs.append(F.when(a == b, F.struct(F.lit(name).alias("sort"), F.lit(float(low)).alias("low_cut"),
+                                                 F.lit(float(high)).alias("high_cut"), a.alias("edge"))))
+    tied = F.filter(F.array(*pairs), lambda x: x.isNotNull())
+    return p.select(*by, F.explode(tied).alias("_tie")).select(*by, "_tie.*")
+
+
 def _check_distinct_edges(df: DataFrame, by: list[str], specs) -> DataFrame:
-    """Fail the job when interpolated edges (min, cuts, max) of a group tie."""
-    checks = []
-    for col, cuts, _, name in specs:
-        p = percentiles(df, by, {name: col}, cuts)
-        cols = [F.col(f"{name}__p{i}") for i in range(len(cuts))]
-        tie = F.lit(False)
-        for a, b in zip(cols, cols[1:]):
-            tie = tie | (a == b)
-        checks.append(p.select(*by, tie.alias(f"_tie_{name}")))
-    out = df
-    for chk in checks:
-        tie_col = chk.columns[-1]
-        out = out.join(chk, by, "left").filter(
-            F.when(F.coalesce(F.col(tie_col), F.lit(False)),
-                   F.raise_error(F.lit("bin edges must be unique"))).otherwise(F.lit(True))
-        ).drop(tie_col)
-    return out
+    """Fail the job, naming the group, when interpolated edges (min, cuts, max) of a group tie."""
+    groups = tied_edges(df, by, specs).groupBy(*by).agg(F.min("sort").alias("_tie"))
+    what = F.concat(F.lit("bin edges must be unique: "), F.concat_ws(", ", F.col("_tie"), *[F.col(b).cast("string") for b in by]))
+    return (df.join(groups, list(by), "left")
+            .filter(F.when(F.col("_tie").isNotNull(), F.raise_error(what)).otherwise(F.lit(True))).drop("_tie"))

@@ -17,10 +17,14 @@ def with_rebalance_year(df: DataFrame, date_col: str = "ret_date",
                         ret_start: str | None = None, ret_end: str | None = None,
                         group_start: str | None = None,
                         group_end: str | None = None) -> DataFrame:
-    """Attach ``year`` (December of the grouping year) and keep dates in the calendar."""
-    y = rebalance_year(date_col)
+    """Attach ``year`` (December of the grouping year) and keep dates in the calendar.
+
+    A panel stored by grouping year brings it as a partition column; then the
+    calendar's range filters that column, and other years are not read.
+    """
+    y = F.col("group_year") if "group_year" in df.columns else rebalance_year(date_col)
     return (df.filter(between_dates(date_col, ret_start, ret_end))
-              .withColumn("year", y)
+              .withColumn("year", y).drop("group_year")
               .filter(between_dates("year", group_start, group_end)))
 
 

@@ -521,3 +521,19 @@ SQL["contract_report"] = build(" UNION ALL ".join(
     + f""" AS violations, count(*) AS "rows" FROM {t}"""
     for t, rules in _RULES.items() for name, bad in rules), list(_RULES))
 SQL["listing_csv"] = build("SELECT stock_id, industry FROM listing", ["listing"])
+
+# ---- tied edges, stored panels, drifting extracts -------------------------
+_EDGE_PAIRS = [("size", 0, 0.5), ("size", 0.5, 1), ("tercile", 0, 0.3), ("tercile", 0.3, 0.7), ("tercile", 0.7, 1)]
+SQL["bucket_tied_edges"] = build(" UNION ALL ".join(f"""
+SELECT mc_month, '{n}' AS sort, {a}::DOUBLE AS low_cut, {b}::DOUBLE AS high_cut, quantile_cont(level, {a}) AS edge
+FROM (SELECT mc_month, floor(MC / 50000)::DOUBLE AS level FROM mec)
+GROUP BY mc_month HAVING quantile_cont(level, {a}) = quantile_cont(level, {b})""" for n, a, b in _EDGE_PAIRS), ["mec"])
+SQL["five_factor_day_range"] = f"""
+SELECT * FROM ({SQL["five_factor_day"]}) WHERE {_rebalance('ret_date')} BETWEEN DATE '1998-12-01' AND DATE '1999-12-01'"""
+SQL["union_drift"] = build(f"""
+SELECT stock_id, month, round(ret, {R}) + 0.0 AS ret, CAST(NULL AS VARCHAR) AS note, CAST(NULL AS BIGINT) AS lots, 'early' AS "extract"
+FROM monthret WHERE year(month) < 1997
+UNION ALL SELECT stock_id, month, round(ret, {R}) + 0.0, 'checked', month(month), 'middle' FROM monthret WHERE year(month) IN (1997, 1998)
+UNION ALL SELECT stock_id, month, NULL, NULL, length(stock_id), 'late' FROM monthret WHERE year(month) > 1998
+UNION ALL SELECT stock_id, CAST(month + INTERVAL 120 MONTH AS DATE), NULL, NULL, 7, 'later' FROM monthret WHERE year(month) > 1998""",
+                            ["monthret"])

@@ -81,10 +81,9 @@ def _check_freq(freq: str) -> None:
 
 def returns(inp: FactorInputs, freq: str, drop_missing: bool = True) -> DataFrame:
     _check_freq(freq)
-    if freq == "month":
-        r = inp.monthret.select("stock_id", F.col("month").alias("ret_date"), "ret")
-    else:
-        r = inp.dayret.select("stock_id", F.col("date").alias("ret_date"), "ret")
+    src, day = (inp.monthret, "month") if freq == "month" else (inp.dayret, "date")
+    stored = [c for c in ("group_year",) if c in src.columns]   # of panels stored by grouping year (sources/facts.py)
+    r = src.select("stock_id", F.col(day).alias("ret_date"), "ret", *stored)
     return r.na.drop() if drop_missing else r
 
 

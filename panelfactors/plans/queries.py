@@ -17,6 +17,7 @@ from .. import schemas as S
 from ..functions.contracts import Contract
 from ..functions.contracts import contract_report as _contract_report
 from ..functions.stats import percentiles, qbucket
+from ..functions.stats import tied_edges as _tied_edges
 from ..functions.sweep import asof_fill, average_rank, running_product
 from ..operators.calendars import monthly_calendar as _monthly_calendar
 from ..operators.calendars import rebalance_calendar as _rebalance_calendar
@@ -33,6 +34,8 @@ from ..operators.snapshots import (annual_balance, annual_operating_profit, mont
 from ..session import scratch_path
 from ..sources import adapter as A
 from ..sources.bulk_load import bulk_load
+from ..sources.drift import read_drifting
+from ..sources.facts import read_facts, write_facts
 from ..sources.landing import land_json as _land_json
 from ..sources.landing import merge_extracts as _merge_extracts
 from ..sources.landing import universe as _universe
@@ -473,7 +476,7 @@ def q_landed_upsert(spark, sf):
 def q_incremental_umd_month(spark, sf):
     """The momentum table of a store built from an older extract with faults, after the newer extract is taken over."""
     inp = inputs(spark, sf)
-    sid, split, since = F.col("stock_id").cast("long"), F.lit("1997-07-01").cast("date"), F.lit("1997-04-01").cast("date")
+    sid, split, since = F.col("stock_id").cast("long"), F.lit("2001-07-01").cast("date"), F.lit("2001-04-01").cast("date")
     late = F.col("month") >= since
     old_r = (inp.monthret.where((F.col("month") < split) & ~(late & (sid % 7 == 0)))
              .withColumn("ret", F.when(late & (sid % 5 == 0), F.col("ret") + 0.1).otherwise(F.col("ret"))))
@@ -515,6 +518,40 @@ def q_listing_csv(spark, sf):
     return read_listing(spark, path)
 
 
+def q_bucket_tied_edges(spark, sf):
+    """Months in which caps in steps of 50,000 leave bin edges equal."""
+    caps = month_end_cap(inputs(spark, sf).marketcap).withColumn("level", F.floor(F.col("MC") / 50_000))
+    specs = [("level", S.SIZE_CUTS, S.SIZE_LABELS, "size"), ("level", S.TERCILE_CUTS, S.MOM_LABELS, "tercile")]
+    return _tied_edges(caps, ["mc_month"], specs)
+
+
+def q_five_factor_day_range(spark, sf):
+    """The daily five factors of two grouping years, from a panel stored by grouping year."""
+    inp = inputs(spark, sf)
+    path = scratch_path(spark, "dayret-facts")
+    write_facts(inp.dayret, path, "date")
+    inp.dayret = read_facts(spark, path, S.DAYRET)
+    bounds = P.YearlyBounds(group_start="1998-12-01", group_end="1999-12-01")
+    return rounded(P.five_factor(inp, "day", bounds, pattern=PATTERN)["wide"])
+
+
+def q_union_drift(spark, sf):
+    """Three extracts of returns: numbers for codes and another name of the return, an extra text, no return but lots."""
+    r = inputs(spark, sf).monthret
+    year = F.year("month")
+    parts = {
+        "early": r.where(year < 1997).select(F.col("stock_id").cast("int").alias("stock_id"), "month", F.col("ret").alias("Mtrue_ret")),
+        "middle": r.where(year.between(1997, 1998)).select("month", "stock_id", "ret", F.lit("checked").alias("note"),
+                                                           F.month("month").alias("lots")),
+        "late": r.where(year > 1998).select("stock_id", "month", F.length("stock_id").cast("long").alias("lots")),
+        "later": r.where(year > 1998).select("stock_id", F.add_months("month", 120).alias("month"), F.lit(7).cast("long").alias("lots")),
+    }
+    paths = {n: scratch_path(spark, f"drift-{n}") for n in parts}
+    for n, df in parts.items():
+        df.write.parquet(paths[n])
+    return rounded(read_drifting(spark, paths, {"Mtrue_ret": "ret"}))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "year_end_cap": q_year_end_cap,
     "month_end_cap": q_month_end_cap,
@@ -586,6 +623,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "incremental_umd_month": q_incremental_umd_month,
     "contract_report": q_contract_report,
     "listing_csv": q_listing_csv,
+    "bucket_tied_edges": q_bucket_tied_edges,
+    "five_factor_day_range": q_five_factor_day_range,
+    "union_drift": q_union_drift,
 }
 
 # keys without an SQL oracle
