@@ -54,21 +54,34 @@ def match_positions(matches: str, pieces: str) -> Column:
     offsets are code points, the end is exclusive.  ``before`` and ``after``
     are the neighbouring pieces.
     """
+    lengths = f"transform({matches}, (m, i) -> length({pieces}[i]) + length(m))"
+    ends = _let("len", lengths, _let("step", "greatest(1, cast(ceil(sqrt(size(len))) as int))", _let(
+        "sums", "transform(sequence(0, cast((size(len) - 1) div step as int)), b -> aggregate(slice(len, b * step + 1, step), 0, (s, x) -> s + x))",
+        _let("starts", _running("sums", "0", "acc.at"), f"""flatten(transform(starts, (start, b) -> {
+            _running("slice(len, b * step + 1, step)", "start", "acc.at + x")}))"""))))
     return F.expr(f"""
-        aggregate(
-            sequence(0, size({matches}) - 1),
-            named_struct('at', 0, 'out',
-                CAST(array() AS array<struct<start:int,end:int,match:string,before:string,after:string>>)),
-            (acc, i) -> named_struct(
-                'at', acc.at + length({pieces}[i]) + length({matches}[i]),
-                'out', array_append(acc.out, named_struct(
-                    'start', acc.at + length({pieces}[i]),
-                    'end', acc.at + length({pieces}[i]) + length({matches}[i]),
-                    'match', {matches}[i], 'before', {pieces}[i], 'after', {pieces}[i + 1]))),
-            acc -> acc.out)
+        if(size({matches}) = 0, CAST(array() AS array<struct<start:int,end:int,match:string,before:string,after:string>>),
+           transform({ends}, (e, i) -> named_struct(
+               'start', e - length({matches}[i]), 'end', e, 'match', {matches}[i],
+               'before', {pieces}[i], 'after', {pieces}[i + 1])))
     """)
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL of ``body`` with ``name`` standing for ``value``, which is computed once."""
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _running(lengths: str, start: str, each: str) -> str:
+    """SQL of an array: for every length x the sum so far (``acc.at``) from ``start``, as ``each`` takes it.
+
+    An append copies the array, so this is for short ones: ``match_positions``
+    runs it over blocks of about the square root of the matches.
+    """
+    return (f"aggregate({lengths}, named_struct('at', {start}, 'out', CAST(array() AS array<int>)), "
+            f"(acc, x) -> named_struct('at', acc.at + x, 'out', array_append(acc.out, {each})), acc -> acc.out)")
+
+
 def span_digest(spans: str) -> Column:
     """``kind:start:end`` of each span, comma-joined; the spans are already in order."""
     return F.expr(f"array_join(transform({spans}, s -> concat(s.kind, ':', s.start, ':', s.end)), ',')")
