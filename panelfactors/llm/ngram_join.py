@@ -10,18 +10,20 @@ joined, documents only carry their class.
    tiny sets).  Frequency is counted over all documents; which tokens count as
    frequent (a bounded list) only affects speed, any order gives the same links.
 2. Pivots.  Each index list has a leader, its set with the fewest rare tokens.
-   Each set is verified against the leader it shares most lists with; a group
-   of near copies then hangs together by one link a set, not by all its pairs.
-   The differences to the pivot are kept.
-3. Remaining pairs.  For components only lists whose sets lie in different
-   components matter, and only pairs across components; to count links (op2),
-   all pairs of different sets are verified.  A list is cut into blocks by position and
+   Each set is verified against the leader that most sets share lists with; a
+   group of near copies then hangs together by one link a set, not by all its
+   pairs.  The differences to the pivot are kept.
+3. Pairs of one pivot.  Their overlap follows from the pivot's size and the two
+   differences.  Small differences link surely: these links are counted by the
+   differences' sizes and never listed.  All other pairs need common
+   differences, the more the larger these are; they are joined on the
+   differences, blocks skipped by position and size, and then derived.
+4. Pairs of different pivots.  An index list is cut into blocks by position and
    size, and a pair of blocks is skipped when even its best bound (remaining
-   tokens and those passed, sizes) misses the threshold.  Long lists are cut into parts that are
-   paired in separate tasks.  Two sets with the same pivot are not intersected
-   again: their overlap follows from the pivot's size and the two differences.
-   All other pairs are intersected in full.
+   tokens and those passed, sizes) misses the threshold.  These pairs are
+   intersected in full.  Where only components matter, pairs within one are skipped.
 
+Long lists are cut into parts that are paired in separate tasks.
 Components come from alternating large-star and small-star rounds on the links;
 links never leave Spark.  Every step that is read twice is written to the
 shared folder.
@@ -42,6 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import WORD, fresh, row_key, table, text_of, written
 
@@ -246,7 +249,7 @@ def full_links(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a binary, b binary")
 
 
-def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
+def list_pairs(n, pos, comp, pivot, part, i, j, block=BLOCK, passed=0):
     """Index pairs of one list (or of parts i and j of it) that may link, block by block.
 
     A token at position p of a set of n leaves at most n - p common tokens from
@@ -254,7 +257,7 @@ def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
     At a later one the common tokens before it, ``passed`` at most, are added.
     """
     order = np.lexsort((pos, n))
-    n, pos, comp, part = n[order], pos[order], comp[order], part[order]
+    n, pos, comp, pivot, part = n[order], pos[order], comp[order], pivot[order], part[order]
     rest, least = n - pos + passed, need(n)
     blocks = [slice(s, min(s + block, len(n))) for s in range(0, len(n), block)]
     most_rest = np.array([rest[b].max() for b in blocks])
@@ -269,6 +272,7 @@ def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
             bx, by = blocks[x], blocks[k]
             ok = (np.minimum(rest[bx][:, None], rest[by][None]) >= np.maximum(least[bx][:, None], least[by][None]))
             ok &= (100 * n[bx][:, None] >= PERCENT * n[by][None]) & (comp[bx][:, None] != comp[by][None])
+            ok &= pivot[bx][:, None] != pivot[by][None]
             if i != j:
                 ok &= part[bx][:, None] != part[by][None]
             if k == x:
@@ -280,51 +284,50 @@ def list_pairs(n, pos, comp, part, i, j, block=BLOCK, passed=0):
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
-def remaining_pairs(posts: DataFrame, comps: DataFrame | None) -> DataFrame:
-    """Pairs (a, b) of classes in different components (all classes without ``comps``) that share enough indexed tokens.
-
-    A linked pair meets in the lists of its first SHARED common tokens, so each
-    of these has to count; the bound without tokens passed holds in the first.
-    """
-    p = posts.withColumn("comp", F.col("c"))
-    if comps is not None:
-        p = posts.join(comps.select("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
-    mixed = (p.groupBy("token").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-             .where("lo <> hi").select("token", F.expr(f"CAST(ceil(m / {PART}) AS int)").alias("parts")))
-    p = p.join(mixed, "token").withColumn("part", F.expr("CAST(pmod(xxhash64(c), parts) AS int)"))
-    # a list of several parts: each pair of parts is a cell of its own
+def cells(lists: DataFrame, parts: DataFrame, columns: list[str]) -> DataFrame:
+    """Postings dealt by list; a list of several ``parts`` (list, parts) has a cell for each pair of its parts."""
+    p = lists.join(parts, "list").withColumn("part", F.expr("CAST(pmod(xxhash64(c), parts) AS int)"))
     p = p.withColumn("q", F.explode(F.expr("sequence(0, parts - 1)")))
-    p = p.select("token", "c", "n", "pos", "part", F.xxhash64("comp").alias("comp"),
-                 F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"))
-    p = p.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
+    p = p.select("list", "c", "part", *columns, F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"))
+    return p.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j")
+
+
+def parts_of(lists: DataFrame, *more) -> DataFrame:
+    """(list, m, parts, and the aggregates ``more``) of every list."""
+    return lists.groupBy("list").agg(F.count(F.lit(1)).alias("m"), *more).withColumn("parts", F.expr(f"CAST(ceil(m / {PART}) AS int)"))
+
+
+def pairs_in_cells(p: DataFrame, columns: list[str], find, keep=None, schema: str = "") -> DataFrame:
+    """Pairs (a, b) of classes, a < b, that ``find(column arrays, part, i, j)`` gives for each cell.
 
+    ``keep(column arrays, x, y)`` adds columns (named in ``schema``) to the pairs of rows x and y.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
         def flush(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
             c = np.frombuffer(b"".join(chunk.column("c").to_pylist()), "V16")
-            col = {k: chunk.column(k).to_numpy() for k in ("token", "i", "j", "n", "pos", "comp", "part")}
+            col = {k: chunk.column(k).to_numpy() for k in ("list", "i", "j", "part", *columns)}
             new = np.ones(len(c), bool)
-            new[1:] = (np.diff(col["token"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)
+            new[1:] = (np.diff(col["list"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)
             starts = np.append(np.flatnonzero(new), len(c))
             for s, e in zip(starts[:-1], starts[1:]):
                 if e - s < 2:
                     continue
                 v = slice(s, e)
-                n, pos = col["n"][v].astype(np.int64), col["pos"][v]
-                a, b = list_pairs(n, pos, col["comp"][v], col["part"][v], col["i"][s], col["j"][s], passed=SHARED - 1)
+                mine = {k: col[k][v].astype(np.int64) for k in columns}
+                a, b = find(mine, col["part"][v], col["i"][s], col["j"][s])
                 for at in range(0, len(a), 100_000):
                     ax, bx = a[at:at + 100_000], b[at:at + 100_000]
                     x, y = c[v][ax], c[v][bx]
-                    first = np.minimum((n - pos)[ax], (n - pos)[bx]) >= need(np.maximum(n[ax], n[bx]))
                     flip = x.view("S16") > y.view("S16")
-                    yield pa.RecordBatch.from_arrays([_fixed(np.where(flip, y, x)), _fixed(np.where(flip, x, y)),
-                                                      pa.array(n[ax].astype(np.int32)), pa.array(first)], names=["a", "b", "n", "first"])
+                    more = keep(mine, ax, bx) if keep else {}
+                    yield pa.RecordBatch.from_arrays([_fixed(np.where(flip, y, x)), _fixed(np.where(flip, x, y)), *more.values()], names=["a", "b", *more])
 
         last = None
         for batch in batches:
             # cut at the last cell's border: a cell may go on in the next batch
-            keys = list(zip(*(batch.column(k).to_pylist() for k in ("token", "i", "j"))))
+            keys = list(zip(*(batch.column(k).to_pylist() for k in ("list", "i", "j"))))
             if not keys:
                 continue
             cut = next((x for x in range(len(keys) - 1, 0, -1) if keys[x] != keys[x - 1]), 0)
@@ -338,11 +341,132 @@ def remaining_pairs(posts: DataFrame, comps: DataFrame | None) -> DataFrame:
         if held:
             yield from flush(pa.Table.from_batches(held))
 
-    found = p.mapInArrow(run, "a binary, b binary, n int, first boolean")
+    return p.mapInArrow(run, "a binary, b binary" + schema)
+
+
+def remaining_pairs(posts: DataFrame, pivots: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """Pairs (a, b) of classes of different pivots that share enough indexed tokens; with ``comps``, across components only.
+
+    A pivot counts as its own where it has no other.  A linked pair meets in the
+    lists of its first SHARED common tokens, so each of these has to count; the
+    bound without tokens passed holds in the first.
+    """
+    p = posts.join(pivots.select("c", "pivot"), "c", "left").withColumn("pivot", F.coalesce("pivot", "c"))
+    p = p.withColumn("comp", F.col("c"))
+    if comps is not None:
+        p = p.drop("comp").join(comps.select("c", "comp"), "c", "left").withColumn("comp", F.coalesce("comp", "c"))
+    p = p.select(F.col("token").alias("list"), "c", "n", "pos", F.xxhash64("comp").alias("comp"), F.xxhash64("pivot").alias("pivot"))
+    mixed = parts_of(p, *(f(x).alias(f"{n}_{x}") for x in ("comp", "pivot") for n, f in (("lo", F.min), ("hi", F.max))))
+    mixed = mixed.where("lo_comp <> hi_comp AND lo_pivot <> hi_pivot").select("list", "parts")
+
+    def find(x, part, i, j):
+        return list_pairs(x["n"], x["pos"], x["comp"], x["pivot"], part, i, j, passed=SHARED - 1)
+
+    def keep(x, a, b):
+        n, rest = x["n"], x["n"] - x["pos"]
+        first = np.minimum(rest[a], rest[b]) >= need(np.maximum(n[a], n[b]))
+        return {"n": pa.array(n[a].astype(np.int32)), "first": pa.array(first)}
+
+    columns = ["n", "pos", "comp", "pivot"]
+    found = pairs_in_cells(cells(p, mixed, columns), columns, find, keep, ", n int, first boolean")
     return (found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n"), F.max("first").alias("first"))
             .where(F.expr(f"first AND shared >= least({SHARED}, ceil({PERCENT} * n / 100))")).select("a", "b"))
 
 
+# Two sets of one pivot of p tokens, that lack m and add q of them and have o
+# differences in common: the overlap is p - m - m' + o, so they link when
+#     (100 + PERCENT) o >= w + w' - slack,   w = 100 m + PERCENT q,   slack = (100 - PERCENT) p.
+# With w + w' <= slack they surely link; else they need a common difference.
+
+WEIGHT = f"CAST((100 * length(minus) + {PERCENT} * length(plus)) / 8 AS long)"
+SLACK = f"{100 - PERCENT} * pivot_n"
+
+
+def band_pairs(over, rest, link, part, i, j, within=True, block=BLOCK):
+    """Index pairs of one list of differences that may link and do not do so surely.
+
+    ``over``: 2 w - slack of a set; ``rest``: its differences from this one on.
+    At a pair's first common difference, at most the lesser rest is common.
+    Not ``within``: pairs of two sets that link to the pivot are left out.
+    """
+    order = np.argsort(over, kind="stable")
+    over, rest, link, part = over[order], rest[order], link[order], part[order]
+    blocks = [slice(s, min(s + block, len(over))) for s in range(0, len(over), block)]
+    most = np.array([rest[b].max() for b in blocks])
+    low, top = np.array([over[b][0] for b in blocks]), np.array([over[b][-1] for b in blocks])
+    out_a, out_b = [], []
+    for x in range(len(blocks)):
+        y = np.arange(x, len(blocks))
+        y = y[(top[x] + top[y] > 0) & (2 * (100 + PERCENT) * np.minimum(most[x], most[y]) >= low[x] + low[y])]
+        for k in y:
+            bx, by = blocks[x], blocks[k]
+            both = over[bx][:, None] + over[by][None]
+            ok = (both > 0) & (2 * (100 + PERCENT) * np.minimum(rest[bx][:, None], rest[by][None]) >= both)
+            if not within:
+                ok &= ~(link[bx][:, None] & link[by][None])
+            if i != j:
+                ok &= part[bx][:, None] != part[by][None]
+            if k == x:
+                ok &= np.triu(np.ones(ok.shape, bool), 1)
+            a, b = np.nonzero(ok)
+            out_a.append(order[a + bx.start])
+            out_b.append(order[b + by.start])
+    none = np.empty(0, int)
+    return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
+
+
+def difference_lists(pivots: DataFrame) -> DataFrame:
+    """(list, c, over, rest, link): postings of each set's differences to its pivot, added tokens first.
+
+    A partner in need of a common difference has w >= PERCENT o itself, so a set
+    needs o >= (w - slack) / 100 with any; its last differences are not posted.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for c, g, n, link, plus, minus in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                plus, minus = _ints(plus), _ints(minus)
+                w, slack, d = 100 * len(minus) + PERCENT * len(plus), (100 - PERCENT) * n, len(plus) + len(minus)
+                posted = d - max(1, -(-(w - slack) // 100)) + 1
+                if posted > 0:
+                    token = np.concatenate([plus, minus])[:posted] ^ np.uint64(g & (1 << 64) - 1)
+                    parts.append((_mix(token), np.frombuffer(c * posted, "V16"), np.full(posted, 2 * w - slack), d - np.arange(posted), np.full(posted, link)))
+            if parts:
+                token, c, over, rest, link = (np.concatenate(x) for x in zip(*parts))
+                yield pa.RecordBatch.from_arrays([pa.array(token.view(np.int64)), _fixed(c), pa.array(over.astype(np.int64)), pa.array(rest.astype(np.int32)),
+                                                  pa.array(link.astype(np.int32))], names=["list", "c", "over", "rest", "link"])
+    # a list is a token of one pivot: their 64-bit hash; a chance meeting is undone where the pairs are verified
+    return pivots.select("c", F.xxhash64("pivot"), "pivot_n", "link", "plus", "minus").mapInArrow(
+        run, "list long, c binary, over long, rest int, link int")
+
+
+def pivot_pairs(pivots: DataFrame, within: bool, name: str) -> DataFrame:
+    """Pairs (a, b) of classes with one pivot whose links the sizes of their differences leave open."""
+    lists = written(pivots.sparkSession, difference_lists(pivots), name)
+    shared = parts_of(lists, F.max("over").alias("top"), F.min("link").alias("all"))
+    shared = shared.where("m > 1 AND top > 0" if within else "m > 1 AND top > 0 AND all = 0").select("list", "parts")
+    columns = ["over", "rest", "link"]
+
+    def find(x, part, i, j):
+        return band_pairs(x["over"], x["rest"], x["link"] > 0, part, i, j, within)
+    return pairs_in_cells(cells(lists, shared, columns), columns, find).distinct()
+
+
+def sure_links(pivots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(c, sure): how many other rows have the class's pivot and surely link with it: counted by weight, not listed.
+
+    Rows with w <= slack - w', per (pivot, w'), from a running sum over the
+    distinct weights of a pivot; these are ``slack`` at most.
+    """
+    p = pivots.where("link").select("c", "pivot", F.expr(SLACK).alias("slack"), F.expr(WEIGHT).alias("w")).join(sizes, "c")
+    by = p.groupBy("pivot", "slack", "w").agg(F.sum("m").alias("m"))
+    points = by.select("pivot", F.col("w").alias("at"), F.lit(0).alias("asks"), "m", "w")
+    asks = by.select("pivot", (F.col("slack") - F.col("w")).alias("at"), F.lit(1).alias("asks"), F.lit(0).cast("long").alias("m"), "w")
+    upto = Window.partitionBy("pivot").orderBy("at", "asks").rowsBetween(Window.unboundedPreceding, 0)
+    below = points.unionByName(asks).withColumn("below", F.sum("m").over(upto)).where("asks = 1").select("pivot", "w", "below")
+    return p.join(below, ["pivot", "w"]).select("c", F.expr("below - IF(2 * w <= slack, m, 0)").alias("sure"))
+
+
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(c, comp): the least class reachable, for every class in ``edges`` (a, b).  Large-star, small-star."""
     spark = edges.sparkSession
@@ -373,20 +497,25 @@ def ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
-def link_counts(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """(c, n_links): the other rows that a row of the class is linked with, those of its own class included."""
+def link_counts(rows: DataFrame, links: DataFrame, pivots: DataFrame) -> DataFrame:
+    """(c, n_links): the other rows that a row of the class is linked with, those of its own class included.
+
+    ``links`` are the links listed; those sure by the differences to one pivot are counted from ``pivots``.
+    """
     sizes = rows.where("n > 0").groupBy("c").agg(F.count(F.lit(1)).alias("m"))
     both = ordered(links).distinct()
     both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
     others = both.join(sizes.select(F.col("c").alias("b"), "m"), "b").groupBy(F.col("a").alias("c")).agg(F.sum("m").alias("others"))
-    return sizes.join(others, "c", "left").select("c", (F.col("m") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    zero = F.lit(0)
+    return (sizes.join(others, "c", "left").join(sure_links(pivots, sizes), "c", "left")
+            .select("c", (F.col("m") - 1 + F.coalesce("others", zero) + F.coalesce("sure", zero)).alias("n_links")))
 
 
 def similar_documents(docs: DataFrame, count_links: bool = False) -> DataFrame:
     """key, doc_id, n_shingles, comp (the component itself), component_id (its least id) of every row.
 
     ``count_links``: n_links too, the number of other rows linked with the row;
-    for that every pair of classes is verified, also within a component.
+    for that pairs within a component are decided too.
     """
     spark = docs.sparkSession
     read = written(spark, read_sets(docs), "ngram-read")
@@ -394,13 +523,15 @@ def similar_documents(docs: DataFrame, count_links: bool = False) -> DataFrame:
     posts = written(spark, postings(docs, frequent_tokens(read.where("kind = 1"))), "ngram-postings")
     posts = written(spark, shared_lists(posts), "ngram-shared")
 
-    # pivots: of each set, the leader it shares most lists with
+    # pivots: of each set, the leader that most sets could have; then the one it shares most lists with
     leaders = (posts.groupBy("token").agg(F.min(F.struct("rare", "n", "c")).alias("top"))
                .select("token", F.col("top.c").alias("pivot"), F.col("top.n").alias("pivot_n")))
     led = (posts.join(leaders, "token").where(f"c <> pivot AND 100 * least(n, pivot_n) >= {PIVOT_PERCENT} * greatest(n, pivot_n)")
            .groupBy("c", "pivot").agg(F.count(F.lit(1)).alias("shared"), F.first("n").alias("n"))
-           .where(F.expr(f"shared >= least({SHARED}, ceil({PERCENT} * n / 100))"))
-           .groupBy("c").agg(F.max_by("pivot", F.struct("shared", "pivot")).alias("pivot")))
+           .where(F.expr(f"shared >= least({SHARED}, ceil({PERCENT} * n / 100))")).drop("n"))
+    led = written(spark, led, "ngram-may-lead")
+    fame = led.groupBy("pivot").agg(F.count(F.lit(1)).alias("fame"))
+    led = led.join(fame, "pivot").groupBy("c").agg(F.max_by("pivot", F.struct("fame", "shared", "pivot")).alias("pivot"))
     led = written(spark, led, "ngram-led")
     reps = rows.where("n > 0").groupBy("c").agg(F.min("key").alias("key"))
     wanted = led.select("c").unionByName(led.select(F.col("pivot").alias("c"))).distinct()
@@ -408,25 +539,22 @@ def similar_documents(docs: DataFrame, count_links: bool = False) -> DataFrame:
     pivots = written(spark, verify_pivots(led, sets), "ngram-pivots")
     links = pivots.where("link").select(F.col("c").alias("a"), F.col("pivot").alias("b"))
 
-    # remaining pairs: all but those verified, or those across the components so far
+    # remaining pairs of one pivot, by the differences to it, and of different pivots
+    near = written(spark, pivot_pairs(pivots, count_links, "ngram-differences"), "ngram-near")
     if count_links:
-        pairs = remaining_pairs(posts, None).join(ordered(pivots.select(F.col("c").alias("a"), F.col("pivot").alias("b"))), ["a", "b"], "left_anti")
+        pairs = remaining_pairs(posts, pivots, None).join(ordered(pivots.select(F.col("c").alias("a"), F.col("pivot").alias("b"))), ["a", "b"], "left_anti")
     else:
-        pairs = remaining_pairs(posts, components(links, "ngram-first"))
+        pairs = remaining_pairs(posts, pivots, components(links, "ngram-first"))
     pairs = written(spark, pairs, "ngram-pairs")
 
     def side(s):
         return pivots.select(F.col("c").alias(s), *[F.col(x).alias(f"{s}_{x}") for x in ("pivot", "n", "plus", "minus")], F.col("pivot_n").alias(f"{s}_pivot_n"))
-    same = written(spark, pairs.join(pivots.select(F.col("c").alias("a"), F.col("pivot").alias("pa")), "a", "left")
-                   .join(pivots.select(F.col("c").alias("b"), F.col("pivot").alias("pb")), "b", "left")
-                   .select("a", "b", F.expr("pa = pb").alias("same")), "ngram-same")
-    derived = derived_links(same.where("same").select("a", "b").join(side("a"), "a").join(side("b"), "b")
+    derived = derived_links(near.join(side("a"), "a").join(side("b"), "b").where("a_pivot = b_pivot")
                             .withColumnRenamed("a_pivot_n", "pivot_n"))
-    rest = same.where("same IS NULL OR NOT same").select("a", "b")
-    more = rest.select(F.col("a").alias("c")).unionByName(rest.select(F.col("b").alias("c"))).distinct()
+    more = pairs.select(F.col("a").alias("c")).unionByName(pairs.select(F.col("b").alias("c"))).distinct()
     more = more.join(sets, "c", "left_anti")
     every = sets.unionByName(written(spark, token_sets(docs, more.join(reps, "c")), "ngram-more-sets"))
-    full = full_links(rest.join(every.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
+    full = full_links(pairs.join(every.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a")
                       .join(every.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b"))
     found = written(spark, derived.unionByName(full), "ngram-links")
     links = links.unionByName(found)
@@ -437,7 +565,7 @@ def similar_documents(docs: DataFrame, count_links: bool = False) -> DataFrame:
     out = of.join(least, "comp", "left")
     counts = []
     if count_links:
-        out = out.join(link_counts(rows, links), "c", "left")
+        out = out.join(link_counts(rows, links, pivots), "c", "left")
         counts = [F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")]
     return out.select(
         "key", "doc_id", F.col("n").alias("n_shingles"), "comp",

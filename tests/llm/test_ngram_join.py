@@ -88,13 +88,13 @@ def test_blocks_skip_no_pair():
     r = np.random.default_rng(1)
     n = r.integers(10, 200, 300)
     pos = (r.random(300) * (n - J.need(n) + J.SHARED)).astype(int)
-    comp, part = r.integers(0, 50, 300), r.integers(0, 2, 300)
+    comp, pivot, part = r.integers(0, 50, 300), r.integers(0, 20, 300), r.integers(0, 2, 300)
     for i, j in ((0, 0), (0, 1)):
-        a, b = J.list_pairs(n, pos, comp, part, i, j, block=16)
+        a, b = J.list_pairs(n, pos, comp, pivot, part, i, j, block=16)
         rest, least = n - pos, J.need(n)
         want = {(x, y) for x in range(300) for y in range(x + 1, 300)
                 if min(rest[x], rest[y]) >= max(least[x], least[y]) and 10 * min(n[x], n[y]) >= 9 * max(n[x], n[y])
-                and comp[x] != comp[y] and (i == j or part[x] != part[y])}
+                and comp[x] != comp[y] and pivot[x] != pivot[y] and (i == j or part[x] != part[y])}
         assert {(min(x, y), max(x, y)) for x, y in zip(a, b)} == want and len(a) == len(want)
 
 
