@@ -51,6 +51,7 @@ from .common import WORD, fresh, row_key, table, text_of, written
 N, PERCENT, SHARED = 3, 90, 3
 FREQUENT, FREQUENT_FROM, BATCH_FROM = 65_536, 32, 4    # length of the list, least count in all, least count in a batch
 BLOCK, PART = 64, 2048                                  # postings in a block of a list, in a part of a long list
+SHORT = 16                                              # lists up to this length are paired many at a time
 PIVOT_PERCENT = 70                                      # differences are kept from this likeness on
 
 
@@ -297,9 +298,22 @@ def parts_of(lists: DataFrame, *more) -> DataFrame:
     return lists.groupBy("list").agg(F.count(F.lit(1)).alias("m"), *more).withColumn("parts", F.expr(f"CAST(ceil(m / {PART}) AS int)"))
 
 
-def pairs_in_cells(p: DataFrame, columns: list[str], find, keep=None, schema: str = "") -> DataFrame:
+def short_pairs(starts, sizes, columns, test):
+    """Row pairs (x, y) of short lists that pass ``test(x's columns, y's columns)``, many lists of one length at a time."""
+    for m in np.unique(sizes):
+        one, other = np.triu_indices(m, 1)
+        at = starts[sizes == m]
+        step = max(1, 200_000 // len(one))
+        for k in range(0, len(at), step):
+            x, y = ((at[k:k + step, None] + side).ravel() for side in (one, other))
+            ok = test({n: v[x] for n, v in columns.items()}, {n: v[y] for n, v in columns.items()})
+            yield x[ok], y[ok]
+
+
+def pairs_in_cells(p: DataFrame, columns: list[str], find, test, keep=None, schema: str = "") -> DataFrame:
     """Pairs (a, b) of classes, a < b, that ``find(column arrays, part, i, j)`` gives for each cell.
 
+    ``test`` is the condition of ``find`` on single pairs, for short lists.
     ``keep(column arrays, x, y)`` adds columns (named in ``schema``) to the pairs of rows x and y.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -307,43 +321,61 @@ def pairs_in_cells(p: DataFrame, columns: list[str], find, keep=None, schema: st
 
         def flush(chunk: pa.Table) -> Iterator[pa.RecordBatch]:
             c = np.frombuffer(b"".join(chunk.column("c").to_pylist()), "V16")
-            col = {k: chunk.column(k).to_numpy() for k in ("list", "i", "j", "part", *columns)}
-            new = np.ones(len(c), bool)
-            new[1:] = (np.diff(col["list"]) != 0) | (np.diff(col["i"]) != 0) | (np.diff(col["j"]) != 0)
-            starts = np.append(np.flatnonzero(new), len(c))
-            for s, e in zip(starts[:-1], starts[1:]):
-                if e - s < 2:
-                    continue
-                v = slice(s, e)
-                mine = {k: col[k][v].astype(np.int64) for k in columns}
-                a, b = find(mine, col["part"][v], col["i"][s], col["j"][s])
+            cell = [chunk.column(k).to_numpy() for k in ("list", "i", "j")]
+            part = chunk.column("part").to_numpy()
+            col = {k: chunk.column(k).to_numpy().astype(np.int64) for k in columns}
+
+            def rows(a, b):
                 for at in range(0, len(a), 100_000):
                     ax, bx = a[at:at + 100_000], b[at:at + 100_000]
-                    x, y = c[v][ax], c[v][bx]
+                    x, y = c[ax], c[bx]
                     flip = x.view("S16") > y.view("S16")
-                    more = keep(mine, ax, bx) if keep else {}
+                    more = keep(col, ax, bx) if keep else {}
                     yield pa.RecordBatch.from_arrays([_fixed(np.where(flip, y, x)), _fixed(np.where(flip, x, y)), *more.values()], names=["a", "b", *more])
 
+            starts = np.append(np.flatnonzero(np.append(True, borders(cell))), len(c))
+            sizes, starts = np.diff(starts), starts[:-1]
+            whole = cell[1][starts] == cell[2][starts]
+            short = whole & (sizes > 1) & (sizes <= SHORT)
+            for a, b in short_pairs(starts[short], sizes[short], col, test):
+                yield from rows(a, b)
+            for s, m in zip(starts[~short], sizes[~short]):
+                if m > 1:
+                    v = slice(s, s + m)
+                    a, b = find({k: x[v] for k, x in col.items()}, part[v], cell[1][s], cell[2][s])
+                    yield from rows(a + s, b + s)
+
+        def borders(cell):
+            return np.logical_or.reduce([x[1:] != x[:-1] for x in cell])
+
         last = None
         for batch in batches:
             # cut at the last cell's border: a cell may go on in the next batch
-            keys = list(zip(*(batch.column(k).to_pylist() for k in ("list", "i", "j"))))
-            if not keys:
+            if not len(batch):
                 continue
-            cut = next((x for x in range(len(keys) - 1, 0, -1) if keys[x] != keys[x - 1]), 0)
-            if last is not None and keys[0] != last or cut:
+            cell = [batch.column(k).to_numpy() for k in ("list", "i", "j")]
+            at = np.flatnonzero(borders(cell))
+            cut = int(at[-1]) + 1 if len(at) else 0
+            if last is not None and tuple(x[0] for x in cell) != last or cut:
                 ready = held + ([batch.slice(0, cut)] if cut else [])
                 if ready:
                     yield from flush(pa.Table.from_batches(ready))
                 held = []
             held.append(batch.slice(cut))
-            last = keys[-1]
+            last = tuple(x[-1] for x in cell)
         if held:
             yield from flush(pa.Table.from_batches(held))
 
     return p.mapInArrow(run, "a binary, b binary" + schema)
 
 
+def may_link(x, y, passed=SHARED - 1):
+    """The condition of ``list_pairs`` on pairs of postings."""
+    more, less = np.maximum(x["n"], y["n"]), np.minimum(x["n"], y["n"])
+    return ((np.minimum(x["n"] - x["pos"], y["n"] - y["pos"]) + passed >= need(more)) & (100 * less >= PERCENT * more)
+            & (x["comp"] != y["comp"]) & (x["pivot"] != y["pivot"]))
+
+
 def remaining_pairs(posts: DataFrame, pivots: DataFrame, comps: DataFrame | None) -> DataFrame:
     """Pairs (a, b) of classes of different pivots that share enough indexed tokens; with ``comps``, across components only.
 
@@ -368,7 +400,7 @@ def remaining_pairs(posts: DataFrame, pivots: DataFrame, comps: DataFrame | None
         return {"n": pa.array(n[a].astype(np.int32)), "first": pa.array(first)}
 
     columns = ["n", "pos", "comp", "pivot"]
-    found = pairs_in_cells(cells(p, mixed, columns), columns, find, keep, ", n int, first boolean")
+    found = pairs_in_cells(cells(p, mixed, columns), columns, find, may_link, keep, ", n int, first boolean")
     return (found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("shared"), F.min("n").alias("n"), F.max("first").alias("first"))
             .where(F.expr(f"first AND shared >= least({SHARED}, ceil({PERCENT} * n / 100))")).select("a", "b"))
 
@@ -415,6 +447,13 @@ def band_pairs(over, rest, link, part, i, j, within=True, block=BLOCK):
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
+def may_link_within(x, y, within):
+    """The condition of ``band_pairs`` on pairs of postings."""
+    both = x["over"] + y["over"]
+    ok = (both > 0) & (2 * (100 + PERCENT) * np.minimum(x["rest"], y["rest"]) >= both)
+    return ok if within else ok & ~((x["link"] > 0) & (y["link"] > 0))
+
+
 def difference_lists(pivots: DataFrame) -> DataFrame:
     """(list, c, over, rest, link): postings of each set's differences to its pivot, added tokens first.
 
@@ -449,7 +488,7 @@ def pivot_pairs(pivots: DataFrame, within: bool, name: str) -> DataFrame:
 
     def find(x, part, i, j):
         return band_pairs(x["over"], x["rest"], x["link"] > 0, part, i, j, within)
-    return pairs_in_cells(cells(lists, shared, columns), columns, find).distinct()
+    return pairs_in_cells(cells(lists, shared, columns), columns, find, lambda x, y: may_link_within(x, y, within)).distinct()
 
 
 def sure_links(pivots: DataFrame, sizes: DataFrame) -> DataFrame:

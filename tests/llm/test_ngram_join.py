@@ -96,6 +96,40 @@ def test_blocks_skip_no_pair():
                 if min(rest[x], rest[y]) >= max(least[x], least[y]) and 10 * min(n[x], n[y]) >= 9 * max(n[x], n[y])
                 and comp[x] != comp[y] and pivot[x] != pivot[y] and (i == j or part[x] != part[y])}
         assert {(min(x, y), max(x, y)) for x, y in zip(a, b)} == want and len(a) == len(want)
+    cols = {"n": n, "pos": pos, "comp": comp, "pivot": pivot}
+    starts, sizes = np.arange(0, 300, 10), np.full(30, 10)
+    short = [(x, y) for a, b in J.short_pairs(starts, sizes, cols, lambda x, y: J.may_link(x, y, passed=0)) for x, y in zip(a, b)]
+    a, b = J.list_pairs(n, pos, comp, pivot, part, 0, 0)
+    assert sorted(short) == sorted((x, y) for x, y in ((min(p), max(p)) for p in zip(a, b)) if x // 10 == y // 10)
+
+
+def test_differences_skip_no_pair():
+    r = np.random.default_rng(2)
+    over, rest, link = r.integers(-1500, 3000, 300), r.integers(1, 12, 300), r.random(300) < 0.4
+    part = r.integers(0, 2, 300)
+    for within in (True, False):
+        for i, j in ((0, 0), (0, 1)):
+            a, b = J.band_pairs(over, rest, link, part, i, j, within, block=16)
+            want = {(x, y) for x in range(300) for y in range(x + 1, 300)
+                    if 0 < over[x] + over[y] <= 380 * min(rest[x], rest[y]) and (within or not (link[x] and link[y]))
+                    and (i == j or part[x] != part[y])}
+            assert {(min(p), max(p)) for p in zip(a, b)} == want and len(a) == len(want)
+
+
+def test_pairs_listed_grow_with_the_group(spark):
+    """A group of near copies with edits at random: few pairs are listed, and per copy hardly more in a larger group."""
+    def listed(size):
+        r = random.Random(size)
+        texts = near_copies(r, [f"w{i}" for i in range(150)], size, 7)
+        docs = docs_frame(spark, texts)
+        posts = J.postings(docs, J.frequent_tokens(J.read_sets(docs).where("kind = 1")))
+        reps = J.read_sets(docs).where("kind = 0").groupBy("c").agg({"key": "min"}).toDF("c", "key")
+        sets = J.token_sets(docs, reps)
+        centre = posts.groupBy("c").agg({"rare": "min"}).orderBy("min(rare)", "c").first().c
+        pivots = J.verify_pivots(reps.where(reps.c != centre).selectExpr("c", f"unhex('{centre.hex()}') AS pivot"), sets)
+        return J.pivot_pairs(pivots, False, "test-differences").count()
+    small, large = listed(300), listed(600)
+    assert large < 600 * 600 / 2 / 20 and large <= 2 * 1.3 * small + 100
 
 
 def test_components(spark):
