@@ -19,9 +19,12 @@ depth is the logarithm of the largest source, so a hot source is spread over
 all tasks.  Every draw is a hash of the document's key and ``seed``: reruns and
 retried tasks agree.
 
-NULL text has size 0 and is never taken.  Repeated rows are one unit: they
-share their verdict (and the pairing counts their words together).  Extra
-columns are ignored here; ``mix`` passes them on.
+NULL text has size 0 and is never taken.  Of n repeated rows (same id, source
+and text) the whole part of n * p is taken outright, as pairing them with each
+other would leave it, and only one fraction goes into the tree; the copies are
+then dealt evenly over the n rows, which are numbered per written partition, so
+a row repeated very often is in no single task.  Extra columns are ignored
+here; ``mix`` passes them on.
 """
 
 from __future__ import annotations
@@ -127,33 +130,66 @@ def pivotal(units: DataFrame, seed: int, chunk: int = CHUNK) -> DataFrame:
     return out
 
 
+def _copies(sizes: DataFrame, targets: DataFrame, seed: int) -> DataFrame:
+    """key, n (its rows) and ``all_copies`` (what the mix takes of them together)."""
+    t = targets.withColumnRenamed("source", "t_source")
+    units = (sizes.groupBy("source", "key").agg(F.count(F.lit(1)).alias("n"), F.max("size").cast("double").alias("w"))
+             .join(t, F.expr("source <=> t_source")).withColumn("due", F.when(F.col("w") > 0, F.col("n") * F.col("rate")).otherwise(0.0)))
+    units = units.select("source", "key", "n", "w", F.floor("due").alias("whole"), F.expr("due - floor(due)").alias("p"))
+    up = pivotal(units.select("source", "key", "w", "p"), seed)
+    return units.join(up, "key", "left").select("key", "n", (F.col("whole") + F.coalesce("up", F.lit(0))).alias("all_copies"))
+
+
+def _dealt(rows: DataFrame, out: str) -> DataFrame:
+    """``rows`` (written; key, n, all_copies, _row unique and rising per partition) with the copies of each row.
+
+    A key's first ``all_copies % n`` rows take one more than the others.  Rows
+    are numbered inside their partition of ``_row``; the rows of earlier
+    partitions are added from counts, one small row per key and partition.
+    """
+    rows = rows.withColumn("_part", F.shiftright("_row", 33))
+    counts = rows.groupBy(F.col("key").alias("c_key"), F.col("_part").alias("c_part")).agg(F.count(F.lit(1)).alias("_here"))
+    before = counts.select("c_key", "c_part", F.coalesce(F.sum("_here").over(
+        Window.partitionBy("c_key").orderBy("c_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    no = F.row_number().over(Window.partitionBy("key", "_part").orderBy("_row")).alias("_no")
+    d = rows.select("*", no).join(before, F.expr("key = c_key AND _part = c_part"))
+    more = F.when(F.col("_before") + F.col("_no") <= F.col("all_copies") % F.col("n"), 1).otherwise(0)
+    return d.withColumn(out, F.floor(F.col("all_copies") / F.col("n")) + more).drop("c_key", "c_part", "_before", "_no", "_part")
+
+
+def _sizes_targets(docs: DataFrame, budget: float, cap: float) -> tuple[DataFrame, DataFrame]:
+    spark = docs.sparkSession
+    sizes = written(spark, docs.select(row_key(docs).alias("key"), "doc_id", "source", F.regexp_count(
+        text_of(docs), F.lit(WORD)).cast("long").alias("size"), F.monotonically_increasing_id().alias("_row")), "mix-sizes")
+    targets = source_targets(sizes.groupBy("source").agg(F.sum("size").alias("source_size")), budget, cap)
+    return sizes, written(spark, targets.withColumn("rate", F.when(
+        F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)), "mix-targets")
+
+
 def mix_copies(docs: DataFrame, seed: int = 17, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
     """key, doc_id, size, source_size, target, copies, taken; one row per input row."""
     spark = docs.sparkSession
-    d = written(spark, docs.select(row_key(docs).alias("key"), "doc_id", "source", F.expr("0").alias("_z"),
-                                   F.regexp_count(text_of(docs), F.lit(WORD)).cast("long").alias("size")).drop("_z"),
-                "mix-sizes")
-    targets = source_targets(d.groupBy("source").agg(F.sum("size").alias("source_size")), budget, cap)
-    targets = written(spark, targets.withColumn("rate", F.when(
-        F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)), "mix-targets")
+    sizes, targets = _sizes_targets(docs, budget, cap)
+    d = written(spark, sizes.join(_copies(sizes, targets, seed), "key"), "mix-copies")
     t = targets.withColumnRenamed("source", "t_source")
-    d = d.join(t, d["source"].eqNullSafe(t["t_source"]), "left")
-    units = d.groupBy("source", "key").agg(
-        F.sum("size").cast("double").alias("w"), F.first("rate").alias("rate"))
-    up = pivotal(units.select("source", "key", "w", F.expr("rate - floor(rate)").alias("p")), seed)
-    d = d.join(up, "key", "left")
-    return d.select("key", "doc_id", "size", "source_size", "target",
-                    F.when(F.col("size") > 0, F.floor("rate") + F.coalesce("up", F.lit(0))).otherwise(0)
-                    .cast("long").alias("copies")).withColumn("taken", F.col("copies") * F.col("size"))
+    d = (d.where("n = 1").withColumn("copies", F.col("all_copies"))
+         .unionByName(_dealt(d.where("n > 1"), "copies")).join(t, F.expr("source <=> t_source"), "left"))
+    return d.select("key", "doc_id", "size", "source_size", "target", F.col("copies").cast("long").alias("copies")
+                    ).withColumn("taken", F.col("copies") * F.col("size"))
 
 
-def mix(docs: DataFrame, **parameters) -> DataFrame:
+def mix(docs: DataFrame, seed: int = 17, budget: float = BUDGET, cap: float = CAP) -> DataFrame:
     """The input rows, each repeated as often as the mix takes it (0 to 2 times), with all their columns."""
-    name, times = fresh(docs, "mix_key"), fresh(docs, "mix_copies")
-    copies = (mix_copies(docs, **parameters).where("copies > 0").groupBy("key").agg(F.first("copies").alias(times))
-              .withColumnRenamed("key", name))
-    out = docs.withColumn(name, row_key(docs)).join(copies, name)
-    return out.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(times).cast("int")))).select(*docs.columns)
+    spark = docs.sparkSession
+    sizes, targets = _sizes_targets(docs, budget, cap)
+    copies = written(spark, _copies(sizes, targets, seed).where("all_copies > 0"), "mix-copies")
+    # all columns of a row as one, so that none clashes with the names used here
+    d = docs.select(row_key(docs).alias("key"), F.struct(*[docs[c] for c in docs.columns]).alias("doc"))
+    once = d.join(copies.where("n = 1"), "key").select("doc", F.col("all_copies").alias("copies"))
+    repeated = written(spark, d.join(copies.where("n > 1"), "key").withColumn("_row", F.monotonically_increasing_id()),
+                       "mix-repeated")
+    out = once.unionByName(_dealt(repeated, "copies").where("copies > 0").select("doc", "copies"))
+    return out.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("doc.*")
 
 
 def op6_source_mix(spark, sf_dir: str) -> DataFrame:

@@ -88,3 +88,27 @@ def test_query(spark, sample_texts):
     ids = sorted(sample_texts)
     assert ids == list(range(len(ids)))
     check(rows, [sample_texts[i]["text"] for i in ids], [sample_texts[i]["source"] for i in ids])
+
+
+def test_repeated_rows_are_units_of_their_own(spark):
+    """One row repeated in half or nine tenths of a source: the words taken still come near the target."""
+    for times in (500, 900):
+        texts = ["same " * 100] * times + [f"w{i} " * 100 for i in range(1000 - times)] + ["x " * 100] * 3 + ["y " * 100] * 600
+        sources = ["a"] * 1000 + ["b"] * 3 + [None] * 600
+        ids = [7] * times + list(range(100, 1100 - times)) + [7, 7, None] + [None] * 600
+        df = docs_frame(spark, texts, sources, ids=ids, extra={"n": "n", "_row": "r"}).repartition(5)
+        rows = mix_copies(df).collect()
+        assert len(rows) == len(texts)
+        by_source, by_key = defaultdict(list), defaultdict(list)
+        for r in rows:
+            by_source[r.source_size, r.target].append(r.taken)
+            by_key[r.key].append(r.copies)
+        assert sorted(size for size, _ in by_source) == [300, 60000, 100000]
+        for (size, target), taken in by_source.items():
+            assert abs(sum(taken) - target) <= 100 and max(taken) <= 200, (size, target, sum(taken))
+        assert all(max(c) - min(c) <= 1 for c in by_key.values())
+        out = mix(df)
+        assert out.columns == df.columns
+        taken = {r["source"]: r["n"] for r in out.groupBy("source").agg({"*": "count"}).withColumnRenamed("count(1)", "n").collect()}
+        assert sum(taken.values()) == sum(r.copies for r in rows)
+        assert mix_copies(df.repartition(3)).agg({"taken": "sum"}).first()[0] == sum(r.taken for r in rows)
