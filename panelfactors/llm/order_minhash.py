@@ -16,7 +16,10 @@ short, all pairs of the text are sorted, so the minima are always those of the
 whole text.
 
 NULL text counts as empty: its fingerprint is empty.  Fewer
-than ``K`` words form one k-mer.  Repeated rows get equal results.
+than ``K`` words form one k-mer.  Repeated rows get equal fingerprints; each is
+the next document of the one before it, as is the first of several texts with
+one id or none.  A very long text is worked on in one row: its k-mer hashes and
+positions are held in memory, some 16 bytes a word.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +31,6 @@ from .common import WORD, table, text_of, written
 
 K, BINS, TUPLE, SPARE = 3, 32, 2, 10
 BIN_BITS = 5            # log2(BINS): the top bits of a hash
-BUCKET = 4096           # ids per bucket of the neighbour look-up
 
 
 def fingerprint(d: DataFrame, text: str, out: str) -> DataFrame:
@@ -83,32 +85,42 @@ def likeness(a: str, b: str) -> Column:
         ELSE size(array_intersect(split({a}, '-'), split({b}, '-'))) / size({bins}) END""")
 
 
+def _order(doc_id: Column, text: Column) -> Column:
+    """Text that sorts rows by descending id, rows without id last, ties by the digest of the text."""
+    falling = F.lpad(F.hex(doc_id.cast("long").bitwiseXOR(F.lit(2 ** 63 - 1))), 16, "0")
+    return F.concat(F.coalesce(falling, F.lit("G" * 16)), F.md5(text))
+
+
 def with_next(d: DataFrame, columns: list[str]) -> DataFrame:
     """``d`` (doc_id, text, ...) with ``next_<c>`` of the next row in descending doc_id, the last's being the first.
 
-    Ids fall into buckets of BUCKET ids; a window finds the next row inside a
-    bucket.  The first row of each bucket is also dealt, as a guest, to the next
-    higher bucket that has rows (found from ids alone, one row per bucket), so
-    texts move once and no task needs more than a bucket.  Ties of doc_id are
-    ordered by the text's digest, rows without id come last.
+    The order keys alone are dealt by range; the first key of each slice (as
+    many as shuffle partitions) cuts the order, so slices are even however the
+    ids are spread, repeated or missing.  Then the texts move once, each to its
+    slice; the first row of a slice is also dealt, as a guest, to the slice
+    before it, and a window finds the next row inside a slice.  Ties of doc_id
+    are ordered by the text's digest, rows without id come last; only rows equal
+    in id and text always share a slice.
     """
-    def bucket(df):
-        return F.coalesce(F.floor(df["doc_id"] / BUCKET), F.lit(-(2 ** 62)))
-
-    by_bucket = Window.orderBy("b")   # one row per BUCKET ids
-    heads = d.groupBy(bucket(d).alias("b")).agg(F.max("doc_id").alias("head"))
-    heads = written(d.sparkSession, heads.select(
-        "b", "head", F.coalesce(F.lead("b").over(by_bucket), F.min("b").over(
-            by_bucket.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("up")), "omh-heads")
-    home = d.withColumn("_b", bucket(d)).withColumn("_tie", F.md5("text"))
-    dealt = home.join(heads, (F.col("_b") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("head")), "left")
-    dealt = dealt.select(*home.columns, F.explode(F.when(F.col("b").isNull(), F.array(
-        F.struct(F.col("_b").alias("at"), F.lit(0).alias("guest")))).otherwise(F.array(
-            F.struct(F.col("_b").alias("at"), F.lit(0).alias("guest")),
-            F.struct(F.col("up").alias("at"), F.lit(1).alias("guest"))))).alias("_d"))
-    order = Window.partitionBy("_d.at").orderBy("_d.guest", F.col("doc_id").desc_nulls_last(), F.col("_tie").desc())
-    out = dealt.select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
-    return out.where("_d.guest = 0").select(*d.columns, *[f"next_{c}" for c in columns])
+    spark = d.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    d = d.withColumn("_o", _order(d["doc_id"], d["text"]))
+    keys = written(spark, d.select("_o"), "omh-order").repartitionByRange(n, "_o")
+    heads = keys.groupBy(F.spark_partition_id().alias("p")).agg(F.min("_o").alias("_o"))
+    heads = sorted(r["_o"] for r in heads.collect())     # one key per slice
+    last = max(len(heads) - 1, 0)
+    d = d.withColumn("_heads", F.split(F.lit(",".join(heads)), ","))
+    # the slice by binary descent: the last head that is not above the row's key
+    steps = [2 ** i for i in reversed(range(max(last, 1).bit_length()))]
+    d = d.withColumn("_s", F.expr(f"""aggregate(array({', '.join(map(str, steps))}), 0, (at, step) ->
+        CASE WHEN at + step <= {last} AND _heads[least(at + step, {last})] <= _o THEN at + step ELSE at END)"""))
+    home = F.struct(F.col("_s").alias("at"), F.lit(0).alias("guest"))
+    guest = F.struct(F.when(F.col("_s") == 0, last).otherwise(F.col("_s") - 1).alias("at"), F.lit(1).alias("guest"))
+    d = d.withColumn("_d", F.explode(F.when(F.expr("_heads[_s] = _o"), F.array(home, guest)).otherwise(F.array(home))))
+    d = d.withColumn("_at", F.col("_d.at")).withColumn("_guest", F.col("_d.guest")).drop("_heads", "_s", "_d")
+    order = Window.partitionBy("_at").orderBy("_guest", "_o")
+    out = d.repartitionById(n, "_at").select("*", *[F.lead(c).over(order).alias(f"next_{c}") for c in columns])
+    return out.where("_guest = 0").drop("_o", "_at", "_guest")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:

@@ -21,9 +21,16 @@ def brute_edited(rows):
     return out
 
 
-@pytest.mark.parametrize("bucket", [3, 4096])
-def test_edited_text_of_the_next_document(spark, monkeypatch, bucket):
-    monkeypatch.setattr(O, "BUCKET", bucket)
+@pytest.fixture
+def slices(spark, request):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", request.param)
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+@pytest.mark.parametrize("slices", [1, 3, 40], indirect=True)
+def test_edited_text_of_the_next_document(spark, slices):
     texts = {0: "alpha beta gamma", 2: None, 7: "", 8: "é😀" * 9, 9: "one two three four", 40: BODY, 41: "x"}
     df = docs_frame(spark, list(texts.values()), ids=list(texts), extra={"fingerprint": "f", "_b": "b", "_h": "h", "edited": "e"})
     got = {r.doc_id: r for r in fingerprints(df).collect()}
@@ -101,3 +108,30 @@ def test_query(spark, sample_texts):
         assert r.n_chars == len(texts[d] or "")
         assert r.edited_sha256 == hashlib.sha256(want[d].encode()).hexdigest()
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+
+
+def test_next_with_missing_repeated_and_sparse_ids(spark):
+    """The next row against plain Python; every id NULL, one id for a third of all rows, 64-bit ids far apart."""
+    import random
+    r = random.Random(5)
+    n = 400
+    sparse = [r.randrange(-2 ** 63, 2 ** 63) for _ in range(n - 2)] + [2 ** 63 - 1, -2 ** 63]
+    for ids in ([None] * n, [7 if i % 3 == 0 else i for i in range(n)], sparse, [None if i % 2 else -i for i in range(n)], [3]):
+        texts = [f"text {i} " + "word " * (i % 7) for i in range(len(ids))]
+        df = docs_frame(spark, texts, ids=ids, extra={"_o": "x", "_at": "y", "next_text": "z"})
+        rows = O.with_next(df.select("doc_id", "text").repartition(5), ["text"]).collect()
+        order = sorted(zip(ids, texts), key=lambda x: (x[0] is None, -(x[0] or 0), hashlib.md5(x[1].encode()).hexdigest()))
+        want = {t: order[(i + 1) % len(order)][1] for i, (_, t) in enumerate(order)}
+        assert len(rows) == len(ids) and {x.text: x.next_text for x in rows} == want
+    # the id that a third of the rows hold is spread over the slices
+    hot = docs_frame(spark, [f"text {i}" for i in range(3000)], ids=[7 if i % 3 == 0 else i for i in range(3000)])
+    from pyspark.sql import functions as F
+    sizes = [x["count"] for x in O.with_next(hot.select("doc_id", "text"), ["text"]).groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 3 * 3000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_very_long_text_and_extra_columns(spark):
+    words = [f"w{i * i % 70001}" for i in range(200_000)]
+    df = docs_frame(spark, [" ".join(words), " ".join(words[:-5]), "short one here"], extra={"fingerprint": "f", "edited": "e", "_p": "p"})
+    rows = {r.doc_id: r for r in fingerprints(df).collect()}
+    assert rows[1].near_next > 0.9 and rows[2].near_next == likeness(rows[2].fingerprint, rows[1].fingerprint) and rows[0].near_next < 0.2
