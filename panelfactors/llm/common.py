@@ -55,9 +55,9 @@ def match_positions(matches: str, pieces: str) -> Column:
     are the neighbouring pieces.
     """
     lengths = f"transform({matches}, (m, i) -> length({pieces}[i]) + length(m))"
-    ends = _let("len", lengths, _let("step", "greatest(1, cast(ceil(sqrt(size(len))) as int))", _let(
+    ends = let("len", lengths, let("step", "greatest(1, cast(ceil(sqrt(size(len))) as int))", let(
         "sums", "transform(sequence(0, cast((size(len) - 1) div step as int)), b -> aggregate(slice(len, b * step + 1, step), 0, (s, x) -> s + x))",
-        _let("starts", _running("sums", "0", "acc.at"), f"""flatten(transform(starts, (start, b) -> {
+        let("starts", _running("sums", "0", "acc.at"), f"""flatten(transform(starts, (start, b) -> {
             _running("slice(len, b * step + 1, step)", "start", "acc.at + x")}))"""))))
     return F.expr(f"""
         if(size({matches}) = 0, CAST(array() AS array<struct<start:int,end:int,match:string,before:string,after:string>>),
@@ -67,19 +67,28 @@ def match_positions(matches: str, pieces: str) -> Column:
     """)
 
 
-def _let(name: str, value: str, body: str) -> str:
+def let(name: str, value: str, body: str) -> str:
     """SQL of ``body`` with ``name`` standing for ``value``, which is computed once."""
     return f"element_at(transform(array({value}), {name} -> {body}), 1)"
 
 
-def _running(lengths: str, start: str, each: str) -> str:
-    """SQL of an array: for every length x the sum so far (``acc.at``) from ``start``, as ``each`` takes it.
+def _running(values: str, start: str, each: str, step: str = "acc.at + x") -> str:
+    """SQL of an array: for every value x the state so far (``acc.at``) from ``start``, as ``each`` takes it.
 
-    An append copies the array, so this is for short ones: ``match_positions``
-    runs it over blocks of about the square root of the matches.
+    An append copies the array, so this is for short ones: the callers run it
+    over blocks of about the square root of the values.
     """
-    return (f"aggregate({lengths}, named_struct('at', {start}, 'out', CAST(array() AS array<int>)), "
-            f"(acc, x) -> named_struct('at', acc.at + x, 'out', array_append(acc.out, {each})), acc -> acc.out)")
+    return (f"aggregate({values}, named_struct('at', {start}, 'out', CAST(array() AS array<int>)), "
+            f"(acc, x) -> named_struct('at', {step}, 'out', array_append(acc.out, {each})), acc -> acc.out)")
+
+
+def greatest_before(values: str) -> str:
+    """SQL of an array: the greatest of the non-negative values before each one (0 before the first)."""
+    step = "greatest(acc.at, x)"
+    return let("step", f"greatest(1, cast(ceil(sqrt(size({values}))) as int))", let(
+        "tops", f"transform(sequence(0, cast((size({values}) - 1) div step as int)), b -> array_max(slice({values}, b * step + 1, step)))",
+        let("starts", _running("tops", "0", "acc.at", step), f"""flatten(transform(starts, (start, b) -> {
+            _running(f"slice({values}, b * step + 1, step)", "start", "acc.at", step)}))""")))
 
 
 def span_digest(spans: str) -> Column:

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, match_positions, row_key, span_digest, table, text_of
+from .common import fresh, greatest_before, let, match_positions, row_key, span_digest, table, text_of
 
 NO_SPANS = "CAST(array() AS array<struct<start:int,rank:int,end:int,kind:string,match:string>>)"
 
@@ -160,12 +160,37 @@ def secret_spans(docs: DataFrame, rules=RULES) -> DataFrame:
     if not indexed:
         return every.withColumn("spans", F.array_sort("spans"))
     verified = _spans(keyed.select("key", "text").join(candidates(keyed, rules), "key"), rules, indexed,
-                      "array_contains(hits, {i})").where("size(spans) > 0")
+                      "array_contains(hits, {i})")
+    # no filter on the spans here: pushed below them, it would run the patterns anew for every match
     verified = verified.groupBy("key").agg(F.first("spans").alias("more"))   # repeated rows: one entry
     return every.join(verified, "key", "left").select("key", "doc_id", F.array_sort(F.concat(
         "spans", F.coalesce("more", F.expr(NO_SPANS)))).alias("spans"))
 
 
+def _merged(spans: str) -> str:
+    """SQL of the spans (in order of their starts) with overlapping ones merged: a span that starts inside an earlier one extends it."""
+    return let("ends", f"transform({spans}, s -> s.end)", let("most", "array_max(ends)", let(
+        "reach", greatest_before("ends"), let(
+            "heads", f"filter(sequence(0, size(ends) - 1), i -> i = 0 OR {spans}[i].start >= reach[i])", f"""
+            transform(heads, (h, j) -> named_struct('start', {spans}[h].start,
+                                                    'end', coalesce(get(reach, get(heads, j + 1)), most)))"""))))
+
+
+def _between(text: str, spans: str) -> str:
+    """SQL of the pieces of text before each of the disjoint spans.
+
+    A substring walks the text from its start, so blocks of spans are cut out
+    first, about the square root of their number each.
+    """
+    def end(i, first):
+        return f"if(i = 0, {first}, part[{i}].end)"
+    return let("step", f"greatest(1, cast(ceil(sqrt(size({spans}))) as int))", f"""
+        flatten(transform(sequence(0, cast((size({spans}) - 1) div step as int)), b -> {
+            let("part", f"slice({spans}, b * step + 1, step)", let("at", f"if(b = 0, 0, {spans}[b * step - 1].end)", let(
+                "cut", f"substring({text}, at + 1, element_at(part, -1).end - at)", f"""
+                transform(part, (s, i) -> substring(cut, {end('i - 1', 'at')} - at + 1, s.start - {end('i - 1', 'at')}))""")))}))""")
+
+
 def redact(docs: DataFrame, rules=RULES, mark: str = "[SECRET]") -> DataFrame:
     """The input rows with every secret span of the text replaced by ``mark``; all columns stay.
 
@@ -173,20 +198,12 @@ def redact(docs: DataFrame, rules=RULES, mark: str = "[SECRET]") -> DataFrame:
     to the new length where the text changed.
     """
     name, spans = fresh(docs, "secret_key"), fresh(docs, "secret_spans")
-    # a span that starts inside an earlier one extends it
     found = (secret_spans(docs, rules).where("size(spans) > 0").groupBy("key").agg(F.first("spans").alias(spans))
-             .select(F.col("key").alias(name), F.expr(f"""aggregate({spans},
-                 CAST(array() AS array<struct<start:int,end:int>>),
-                 (acc, s) -> CASE WHEN size(acc) > 0 AND s.start < element_at(acc, -1).end
-                     THEN array_append(slice(acc, 1, size(acc) - 1), named_struct(
-                         'start', element_at(acc, -1).start, 'end', greatest(element_at(acc, -1).end, s.end)))
-                     ELSE array_append(acc, named_struct('start', s.start, 'end', s.end)) END)""").alias(spans)))
+             .select(F.col("key").alias(name), F.expr(_merged(spans)).alias(spans)))
     d = docs.withColumn(name, row_key(docs)).join(found, name, "left")
     text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.concat(
-        F.array_join(F.transform(spans, lambda s, i: F.substring(
-            F.col("text"), F.when(i == 0, 1).otherwise(F.get(F.col(spans), i - 1)["end"] + 1),
-            s["start"] - F.when(i == 0, 0).otherwise(F.get(F.col(spans), i - 1)["end"]))), mark),
-        F.lit(mark), F.expr(f"substring(text, element_at({spans}, -1).end + 1)")))
+        F.array_join(F.expr(_between("text", spans)), mark), F.lit(mark),
+        F.expr(f"substring(text, element_at({spans}, -1).end + 1)")))
     d = d.withColumn("text", text)
     if "n_chars" in docs.columns:
         d = d.withColumn("n_chars", F.when(F.col(spans).isNull(), F.col("n_chars"))
