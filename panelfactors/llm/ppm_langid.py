@@ -15,7 +15,8 @@ crc32 of their id among the documents that are not held out (crc32 mod 4 is not
 2) and have a language: a bounded, documented sample.  Their counts are
 summed in Spark and sent to the tasks, where the tables are built.  No context
 is dropped: beyond the ``MAX_CONTEXTS`` most frequent of ORDER bytes a language,
-only the bytes seen are stored, not a row of 256.  Prediction covers every document and reads only the text.
+only the bytes seen are stored, not a row of 256; the table from 3 bytes to a
+context (64 MB) is one for all languages.  Prediction covers every document and reads only the text.
 
 NULL text, or one without a letter: ``und`` with score 0.  NULL doc_id: not held
 out, and not used in training.  Without training data everything is ``und``.
@@ -33,7 +34,10 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-ORDER, TRAIN_DOCS, MAX_CONTEXTS, BLOCK = 3, 400, 30_000, 1 << 20
+ORDER, TRAIN_DOCS, MAX_CONTEXTS, BLOCK = 3, 400, 8_000, 1 << 20
+
+
+BIN_BITS = 20       # the sample's cut is sought among 2 ** BIN_BITS ranges of the crc
 
 
 def held_out(doc_id):
@@ -42,10 +46,20 @@ def held_out(doc_id):
 
 def training_grams(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(lang, gram, n): the counts of ORDER + 1 bytes in a row in the training sample, packed big-endian."""
-    rank = Window.partitionBy("lang").orderBy(F.crc32(F.col("doc_id").cast("string")), "doc_id")
-    ids = (docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-           .select("doc_id", "lang").withColumn("r", F.row_number().over(rank))
-           .where(F.col("r") <= train_docs).select(F.col("doc_id").alias("t_id"), F.col("lang").alias("t_lang")).distinct())
+    # a histogram of the crc per language gives the cut, so that only rows near it are ranked
+    usable = (docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
+              .select("doc_id", "lang", F.crc32(F.col("doc_id").cast("string")).alias("crc"))
+              .withColumn("bin", F.shiftright("crc", 32 - BIN_BITS)))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    cut = (usable.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("before", before)
+           .where(F.col("before") < train_docs).groupBy("lang").agg(F.max("bin").alias("last")))
+    near = (usable.join(cut, "lang").where("bin <= last").groupBy("lang", "crc", "doc_id")
+            .agg(F.count(F.lit(1)).alias("n")))      # a repeated id is one row here, and counts as often as it occurs
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("crc", "doc_id").rowsBetween(
+        Window.unboundedPreceding, -1)), F.lit(0))
+    ids = (near.withColumn("before", before).where(F.col("before") < train_docs)
+           .select(F.col("doc_id").alias("t_id"), F.col("lang").alias("t_lang")))
     texts = docs.join(F.broadcast(ids),   # at most train_docs ids a language
                       (F.col("doc_id") == F.col("t_id")) & (F.col("lang") == F.col("t_lang"))).select("lang", "text")
 
@@ -71,10 +85,12 @@ def grams(data: np.ndarray) -> np.ndarray:
 class Model:
     """Cost tables of one language.
 
-    ``context``: for each value of ORDER bytes, the row of its longest counted
-    suffix; ``bits[row, byte]``: the exact code length of a byte there.
-    A negative value is ``-1 - i`` of a rarer context of ORDER bytes: ``rare_*``
-    hold its escape, the row of its suffix and, by gram, the bytes seen.
+    ``bits[row, byte]`` is the exact code length of a byte in a row's context.
+    ``top`` are the counted contexts of ORDER bytes, in order, and ``top_row``
+    their rows; ``low`` has the row of the longest counted suffix for each value
+    of ORDER - 1 bytes.  A negative row is ``-1 - i`` of a rarer context of ORDER
+    bytes: ``rare_*`` hold its escape, the row of its suffix and, by gram, the
+    bytes seen.
     """
 
     def __init__(self, gram: np.ndarray, n: np.ndarray):
@@ -95,8 +111,10 @@ class Model:
                 self.rare_gram = gram[by]
                 self.rare_bits = -np.log2(n[by] / (total[row[by]] + d[row[by]]))
                 self.rare_escape = -np.log2(d[rare] / (total[rare] + d[rare]))
-                rare_ctx = ctx[rare]
-                self.rare_up = parent_row[rare_ctx & ((1 << (8 * (order - 1))) - 1)].astype(np.int64)
+                self.rare_up = parent_row[ctx[rare] & ((1 << (8 * (order - 1))) - 1)].astype(np.int64)
+                self.low, self.top = parent_row.astype(np.int32), ctx.astype(np.int64)
+                self.top_row = np.where(where >= 0, len(bits) + where, 0).astype(np.int32)
+                self.top_row[rare] = -1 - np.arange(len(rare))
                 ctx, rows, sym, cnt = ctx[keep], where[row[used]], gram[used] & 255, n[used]
             else:                                               # at most 65,536 contexts
                 rows, sym, cnt = row, gram & 255, n
@@ -106,17 +124,29 @@ class Model:
             d, all_n = seen.sum(1, keepdims=True), counts.sum(1, keepdims=True)
             up = parent_row[ctx & ((1 << (8 * max(order - 1, 0))) - 1)] if order else np.zeros(len(ctx), np.int64)
             own = np.where(seen, -np.log2(np.maximum(counts, 1) / (all_n + d)), -np.log2(d / (all_n + d)) + bits[up])
-            here = np.zeros(1 << (8 * order), np.int32)
-            if order:
-                here = np.tile(parent_row.astype(np.int32), 256)   # a context that is not there: its suffix's row
-            here[ctx] = len(bits) + np.arange(len(ctx))
+            if order < ORDER:
+                here = np.tile(parent_row.astype(np.int32), 256) if order else np.zeros(1, np.int32)   # not there: its suffix's row
+                here[ctx] = len(bits) + np.arange(len(ctx))
+                parent_row = here
             bits = np.concatenate([bits, own])
-            parent_row = here
-        parent_row[rare_ctx] = -1 - np.arange(len(rare_ctx))
-        self.context, self.bits = parent_row, bits.astype(np.float32).ravel()
-
-    def cost(self, gram: np.ndarray) -> np.ndarray:
-        row, byte = self.context[gram >> np.uint32(8)].astype(np.int64), gram & np.uint32(255)
+        self.bits = bits.astype(np.float32).ravel()
+
+    def rows_of(self, contexts: np.ndarray) -> np.ndarray:
+        """Row of each context of ORDER bytes."""
+        suffix = self.low[contexts & ((1 << (8 * (ORDER - 1))) - 1)]
+        if not len(self.top):
+            return suffix
+        at = np.minimum(np.searchsorted(self.top, contexts), len(self.top) - 1)
+        return np.where(self.top[at] == contexts, self.top_row[at], suffix)
+
+    def number(self, tops: np.ndarray) -> None:
+        """Rows by the numbers of :func:`context_numbers` over ``tops``."""
+        self.row = np.concatenate([self.rows_of(tops), self.low])
+
+    def cost(self, gram: np.ndarray, number: np.ndarray | None = None) -> np.ndarray:
+        """Code length of each byte; ``number``: that of its context, where the models have been numbered."""
+        row = self.rows_of((gram >> np.uint32(8)).astype(np.int64)) if number is None else self.row[number]
+        row, byte = row.astype(np.int64), gram & np.uint32(255)
         if not len(self.rare_gram):
             return self.bits[row * 256 + byte]
         out = self.bits[np.maximum(row, 0) * 256 + byte]
@@ -128,6 +158,23 @@ class Model:
         return out
 
 
+def context_numbers(tops: np.ndarray) -> np.ndarray:
+    """One table for all languages: a value of ORDER bytes -> its place in ``tops``, or len(tops) + its last ORDER - 1 bytes."""
+    low = 1 << (8 * (ORDER - 1))
+    out = np.tile(np.arange(len(tops), len(tops) + low, dtype=np.int32), 256)
+    out[tops] = np.arange(len(tops), dtype=np.int32)
+    return out
+
+
+def models_of(grams_by_lang: dict[str, tuple[np.ndarray, np.ndarray]]) -> tuple[dict[str, Model], np.ndarray]:
+    """The models by language, and the numbers of their contexts."""
+    models = {lang: Model(g, n) for lang, (g, n) in grams_by_lang.items()}
+    tops = np.unique(np.concatenate([np.empty(0, np.int64), *(m.top for m in models.values())]))
+    for m in models.values():
+        m.number(tops)
+    return models, context_numbers(tops)
+
+
 def predict(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """doc_id, held_out, lang_pred, score, bits (code length of the winner) of every row."""
     rows = training_grams(docs, train_docs).collect()   # bounded by the training sample
@@ -139,7 +186,7 @@ def predict(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
         {lang: (np.array(g, np.int64), np.array(n, np.int64)) for lang, (g, n) in sorted(by_lang.items())})
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = {lang: Model(g, n) for lang, (g, n) in sent.value.items()}
+        models, numbers = models_of(sent.value)
         names = list(models)
         for batch in batches:
             raw = [t.encode() if ok else b"" for t, ok in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
@@ -151,8 +198,9 @@ def predict(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
                     codes = grams(block)
                     if at:
                         codes = grams(np.frombuffer(data, np.uint8, len(block) + ORDER, at - ORDER))[ORDER:]
+                    number = numbers[codes >> np.uint32(8)]
                     for j, name in enumerate(names):
-                        bits[i, j] += models[name].cost(codes).sum(dtype=np.float64)
+                        bits[i, j] += models[name].cost(codes, number).sum(dtype=np.float64)
             best = bits.argmin(1) if names else np.zeros(len(raw), int)
             least = bits.min(1, keepdims=True) if names else np.zeros((len(raw), 1))
             share = 1 / np.exp2(np.maximum(least - bits, -1000)).sum(1) if names else np.zeros(len(raw))

@@ -85,3 +85,36 @@ def test_rare_contexts_are_kept(monkeypatch):
     for text in ("the cat", train[:300].decode(), train[600:900].decode() + " zzz", "一二三 mat", ""):
         data = text.encode()
         assert abs(model.cost(grams(np.frombuffer(data, np.uint8))).sum() - brute_bits(train, data)) < 1e-2, text
+
+
+def test_many_languages_share_one_context_table():
+    """60 languages of 200 KB each: the numbered look-up equals each model's own, well under 1 GB."""
+    import resource
+    r = np.random.default_rng(3)
+    words = [bytes(r.integers(97, 123, r.integers(2, 9)).astype(np.uint8)) for _ in range(3000)]
+    trained = {}
+    for i in range(60):
+        text = b" ".join(words[j] for j in r.integers(i * 40, i * 40 + 600, 30_000))
+        g, n = np.unique(grams(np.frombuffer(text, np.uint8)), return_counts=True)
+        trained[f"l{i}"] = (g.astype(np.int64), n.astype(np.int64))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    models, numbers = P.models_of(trained)
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 1000
+    codes = grams(np.frombuffer("unknown é bytes and ".encode() + b" ".join(words[:50]), np.uint8))
+    for m in models.values():
+        assert np.array_equal(m.cost(codes), m.cost(codes, numbers[codes >> np.uint32(8)]))
+
+
+def test_sample_is_the_least_crc_with_repeated_ids(spark):
+    """The sample against plain Python: repeated ids count as often as they occur and are taken once."""
+    ids = [i // 3 if i % 5 == 0 else i for i in range(900)] + [11] * 300 + [None] * 5
+    texts = [f"text number {i}" for i in range(len(ids))]
+    df = docs_frame(spark, texts, ids=ids).withColumn("lang", F.when(F.col("doc_id") % 7 == 0, "b").when(F.col("doc_id") != 13, "a"))
+    for limit in (1, 40, 10_000):
+        want = {}
+        for lang in ("a", "b"):
+            mine = [i for i in ids if i is not None and i != 13 and ("b" if i % 7 == 0 else "a") == lang and zlib.crc32(str(i).encode()) % 4 != 2]
+            taken = set(sorted(mine, key=lambda i: (zlib.crc32(str(i).encode()), i))[:limit])
+            want[lang] = sum(len(t.encode()) for i, t in zip(ids, texts) if i in taken)
+        got = {r.lang: r.n for r in P.training_grams(df, limit).groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+        assert got == want, limit
