@@ -37,7 +37,7 @@ from .common import table
 ORDER, TRAIN_DOCS, MAX_CONTEXTS, BLOCK = 3, 400, 8_000, 1 << 20
 
 
-BIN_BITS = 20       # the sample's cut is sought among 2 ** BIN_BITS ranges of the crc
+SHIFTS = (22, 12)   # the sample's cut is sought among 1024 ranges of the crc, then among 1024 of one
 
 
 def held_out(doc_id):
@@ -46,15 +46,20 @@ def held_out(doc_id):
 
 def training_grams(docs: DataFrame, train_docs: int = TRAIN_DOCS) -> DataFrame:
     """(lang, gram, n): the counts of ORDER + 1 bytes in a row in the training sample, packed big-endian."""
-    # a histogram of the crc per language gives the cut, so that only rows near it are ranked
     usable = (docs.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-              .select("doc_id", "lang", F.crc32(F.col("doc_id").cast("string")).alias("crc"))
-              .withColumn("bin", F.shiftright("crc", 32 - BIN_BITS)))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(
-        Window.unboundedPreceding, -1)), F.lit(0))
-    cut = (usable.groupBy("lang", "bin").agg(F.count(F.lit(1)).alias("n")).withColumn("before", before)
-           .where(F.col("before") < train_docs).groupBy("lang").agg(F.max("bin").alias("last")))
-    near = (usable.join(cut, "lang").where("bin <= last").groupBy("lang", "crc", "doc_id")
+              .select("doc_id", "lang", F.crc32(F.col("doc_id").cast("string")).alias("crc")))
+    # histograms of the crc per language, the second of the bin that holds the cut: only rows up to it are ranked.
+    # A cut is one row a language, as bounded as the models that are sent to the tasks.
+    inside, above = usable.select("*", F.lit(0).alias("last"), F.lit(0).alias("done")), 32    # done: rows before the bin
+    for shift in SHIFTS:
+        earlier = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("bin").rowsBetween(
+            Window.unboundedPreceding, -1)), F.lit(0))
+        cut = (inside.where(F.shiftright("crc", above) == F.col("last"))
+               .groupBy("lang", "done", F.shiftright("crc", shift).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("done", F.col("done") + earlier).where(F.col("done") < train_docs)
+               .groupBy("lang").agg(F.max("bin").alias("last"), F.max("done").alias("done")))
+        inside, above = usable.join(F.broadcast(cut), "lang"), shift
+    near = (inside.where(F.shiftright("crc", above) <= F.col("last")).groupBy("lang", "crc", "doc_id")
             .agg(F.count(F.lit(1)).alias("n")))      # a repeated id is one row here, and counts as often as it occurs
     before = F.coalesce(F.sum("n").over(Window.partitionBy("lang").orderBy("crc", "doc_id").rowsBetween(
         Window.unboundedPreceding, -1)), F.lit(0))
