@@ -1,12 +1,12 @@
 """BPE encoding and decoding with a minimal acyclic transducer lexicon.
 
-Frequent words are encoded once and compiled, on the driver, into a minimal
-acyclic automaton (shared prefixes and suffixes) whose arcs count the words
-they skip, so a walk gives a word's number, and the number its ids.  The
-compiled lexicon has a bounded size (``LEXICON`` words), is sent to the tasks
-as one byte string and is memory-mapped there.  Words outside it are merged
-exactly, by rank.  The lexicon only saves time: any lexicon gives the same ids.
-Its words are the most frequent ones of about ``SAMPLE`` documents (a bounded sample).
+The words that the vocabulary itself holds are encoded once and compiled, on
+the driver, into a minimal acyclic automaton (shared prefixes and suffixes) whose
+arcs count the words they skip, so a walk gives a word's number, and the number
+its ids.  The compiled lexicon is bounded by the tokenizer file, is sent to the
+tasks as one byte string and is memory-mapped there.  Words outside it are merged
+exactly, by rank.  A worker keeps the ids of up to ``KEPT`` words it has met.  The
+lexicon only saves time: any lexicon gives the same ids.  Nothing is counted or sampled.
 
 Texts are cut into words by character classes, a block of whole texts at a time;
 the automaton is asked once for each distinct word of a block, and ids and decoded
@@ -31,24 +31,20 @@ import mmap
 import struct
 import tempfile
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .columnar import BLOCK, NUMBER, SPACE, Characters, blocks, char_classes, expand, slices
 from .common import table, text_of
 
-LEXICON, SAMPLE, MAX_LEXICON_WORD = 50_000, 4000, 64
+#: words that a worker keeps with their ids, and their length in bytes at most
+KEPT, MAX_KEPT_WORD = 50_000, 64
 #: words up to this many bytes are merged by scanning, longer ones by a heap
 SHORT = 24
-BLANKS = "\t-\r \x85\xa0  -     　"   # white space of the pattern
-#: fixed value: the word pattern of the tokenizer file
-PIECES = rf"'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}]+|[\p{{N}}]|[^{BLANKS}\p{{L}}\p{{N}}]+"
 END = "</w>"
 
 
@@ -242,12 +238,21 @@ class Codec:
     def __init__(self, spec: dict, compiled: bytes, classes: bytes | None = None):
         self.merger = Merger(spec)
         self.lexicon = Lexicon(compiled)
+        self.kept: dict[bytes, list[int]] = {}
         self.classes = np.frombuffer(classes or char_classes(), np.uint8)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.merger.added, key=len, reverse=True))) + ")")
 
     def word(self, word: bytes) -> list[int]:
-        ids = self.lexicon.get(word)
-        return self.merger.encode(word) if ids is None else ids
+        ids = self.kept.get(word)
+        if ids is None:
+            ids = self.lexicon.get(word)
+            if ids is None:
+                ids = self.merger.encode(word)
+            if len(word) <= MAX_KEPT_WORD:
+                if len(self.kept) >= KEPT:
+                    self.kept.clear()
+                self.kept[word] = ids
+        return ids
 
     def words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of normalized texts side by side, and the place where each text's ids begin (and the end)."""
@@ -290,20 +295,11 @@ class Codec:
         return ids.astype("<u4").tobytes(), self.decode_many(ids)[0][:-1].decode()
 
 
-def frequent_words(docs: DataFrame) -> list[str]:
-    """The LEXICON most frequent words of about SAMPLE documents, a bounded list; each task counts its own."""
-    share = min(1.0, SAMPLE / max(1, docs.count()))
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find, words = regex.compile(PIECES).findall, Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                words.update(find(normalize(text)))
-        top = [(w, n) for w, n in words.most_common(LEXICON) if len(w) <= MAX_LEXICON_WORD]
-        yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in top], pa.string()),
-                                          "n": pa.array([n for _, n in top], pa.int64())})
-    counted = docs.select(text_of(docs).alias("text")).sample(share, seed=7).mapInArrow(count, "word string, n long")
-    rows = counted.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(LEXICON).collect()
-    return [r.word for r in rows]
+def vocabulary_words(spec: dict) -> list[bytes]:
+    """The words that are tokens of their own, in bytes."""
+    byte = {c: b for b, c in enumerate(byte_chars())}
+    words = (t.removesuffix(END) for t in spec["model"]["vocab"] if t.endswith(END))
+    return [bytes(byte[c] for c in w) for w in words if w and all(c in byte for c in w)]
 
 
 _READY: dict[str, Codec] = {}
@@ -323,8 +319,8 @@ def bpe(docs: DataFrame, path: str, full: bool = False) -> DataFrame:
         spec = json.load(f)
     merger = Merger(spec)
     sc = docs.sparkSession.sparkContext
-    # bounded: LEXICON words of MAX_LEXICON_WORD characters at most, and the vocabulary file
-    compiled = compile_lexicon({w.encode(): merger.encode(w.encode()) for w in frequent_words(docs)})
+    # bounded by the vocabulary file
+    compiled = compile_lexicon({w: merger.encode(w) for w in vocabulary_words(spec)})
     sent = sc.broadcast((spec, compiled, char_classes()))
     key = hashlib.sha256(compiled + path.encode()).hexdigest()
 

@@ -2,8 +2,10 @@ import hashlib
 import random
 import struct
 
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from panelfactors.llm import bpe_codec
 from panelfactors.llm.bpe_codec import Codec, Lexicon, Merger, bpe, compile_lexicon, op7_bpe, tokenizer_path
 from tests.conftest import SF_SMALL
 from tests.llm.conftest import docs_frame
@@ -77,3 +79,23 @@ def test_query(spark, sample_texts):
         assert r.n_tokens == len(want)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(want)}I", *want)).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(lib.decode(want, skip_special_tokens=False).encode()).hexdigest()
+
+
+def test_no_document_is_read_for_the_lexicon(spark):
+    """The lexicon comes from the tokenizer file: building the plan runs no job over the texts."""
+    bad = docs_frame(spark, ["a b"]).withColumn("text", F.raise_error(F.lit("text was read")).cast("string"))
+    assert bpe(bad, tokenizer_path()).columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+
+
+def test_vocabulary_words_and_kept_words(monkeypatch):
+    s, lib = spec(), library()
+    merger, inside = Merger(s), bpe_codec.vocabulary_words(s)
+    assert len(inside) == len(set(inside)) and b"the" in inside
+    monkeypatch.setattr(bpe_codec, "KEPT", 3)   # cleared again and again
+    codec = Codec(s, compile_lexicon({w: merger.encode(w) for w in inside[:500]}))
+    for w in words(300) + words(300):
+        assert codec.word(w.encode()) == merger.encode(w.encode())
+        assert len(codec.kept) <= 3
+    text = " ".join(words(400, 3))
+    want = lib.encode(text, add_special_tokens=False).ids
+    assert codec.encode(text)[0] == struct.pack(f"<{len(want)}I", *want)
