@@ -8,6 +8,7 @@ decimals, the precision the oracle comparison uses.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,13 +71,24 @@ def rounded(df: DataFrame, digits: int = ROUND) -> DataFrame:
     ])
 
 
+class StoredInputs(P.FactorInputs):
+    """The adapter's tables, each stored when it is first asked for."""
+
+    def __init__(self, tables):
+        self._tables = tables
+
+    marketcap = cached_property(lambda self: self._tables.marketcap())
+    monthret = cached_property(lambda self: self._tables.monthret())
+    dayret = cached_property(lambda self: self._tables.dayret())
+    balancesheet = cached_property(lambda self: self._tables.balancesheet())
+    incomestatement = cached_property(lambda self: self._tables.incomestatement())
+    index = cached_property(lambda self: self._tables.taiex())
+    bond_yield = cached_property(lambda self: self._tables.bond_yield())
+    listings = cached_property(lambda self: [self._tables.listing_tse(), self._tables.listing_otc()])
+
+
 def inputs(spark: SparkSession, sf_dir: str) -> P.FactorInputs:
-    t = A.finance_tables(spark, sf_dir)
-    return P.FactorInputs(
-        marketcap=t.marketcap(), monthret=t.monthret(), dayret=t.dayret(),
-        balancesheet=t.balancesheet(), incomestatement=t.incomestatement(),
-        index=t.taiex(), bond_yield=t.bond_yield(), listings=[t.listing_tse(), t.listing_otc()],
-    )
+    return StoredInputs(A.finance_tables(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------

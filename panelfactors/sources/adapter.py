@@ -14,7 +14,6 @@ from __future__ import annotations
 import threading
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,7 +65,6 @@ class FinanceTables:
                     "l_returnflag", "l_shipdate"])
         return li.select(
             F.col("l_suppkey").alias("sk"),
-            F.col("l_suppkey").cast("string").alias("stock_id"),
             F.to_date("l_shipdate").alias("d"),
             F.col("l_quantity").alias("qty"),
             F.col("l_extendedprice").alias("ep"),
@@ -76,22 +74,22 @@ class FinanceTables:
         )
 
     def _daily(self) -> DataFrame:
-        """Per stock and day: every money sum the finance tables need, one scan.
+        """Per stock and day: every money sum the finance tables need.
 
-        All other lineitem-derived tables aggregate this table further; it is
-        one plan node, so Spark reuses its shuffle across every branch of a
-        query instead of rescanning lineitem.  Re-rounding a sum of rounded
+        All other lineitem-derived tables aggregate this table further, and
+        carry only the sums they use through its shuffle; the code's text is
+        made from the number after it.  Re-rounding a sum of rounded
         daily sums gives the same double as rounding the sum of the lines,
         because each exact sum has at most 2 (or 4) decimals.
 
         Queries do not read these lazily-derived tables directly: the shared
-        adapter (:func:`finance_tables`) writes them once as parquet tables
-        and the factor runs scan those files.
+        adapter (:func:`finance_tables`) writes the ones they ask for once as
+        parquet tables and the factor runs scan those files.
         """
         def build():
             unit = F.col("ep") / F.col("qty")
             signed = F.when(F.col("rf") == "R", -F.col("ep")).otherwise(F.col("ep"))
-            return self._lines().groupBy("sk", "stock_id", F.col("d").alias("date")).agg(
+            daily = self._lines().groupBy("sk", F.col("d").alias("date")).agg(
                 F.round(F.sum("ep"), 2).alias("money"),
                 F.round(F.sum(signed), 2).alias("signed"),
                 F.round(F.sum(F.col("ep") * (F.lit(0.5) + F.col("disc"))), 4).alias("cogs"),
@@ -101,6 +99,7 @@ class FinanceTables:
                 F.min(unit).alias("unit_min"),
                 F.count(F.lit(1)).alias("lines"),
             )
+            return daily.withColumn("stock_id", F.col("sk").cast("string"))
         return self._memo("daily", build)
 
     def marketcap(self) -> DataFrame:
@@ -110,29 +109,30 @@ class FinanceTables:
     def dayret(self) -> DataFrame:
         def build():
             price = F.col("money") / F.col("volume")
-            w = Window.partitionBy("stock_id").orderBy("date")
-            return (self._daily().select("stock_id", "date", price.alias("price"))
+            w = Window.partitionBy("sk").orderBy("date")
+            return (self._daily().select("sk", "stock_id", "date", price.alias("price"))
                     .select("stock_id", "date", (F.col("price") / F.lag("price").over(w) - 1).alias("ret")))
         return self._memo("dayret", build)
 
     def monthret(self) -> DataFrame:
         def build():
-            m = (self._daily().groupBy("stock_id", month_key("date").alias("month"))
+            m = (self._daily().groupBy("sk", month_key("date").alias("month"))
                  .agg((F.round(F.sum("money"), 2) / F.sum("volume")).alias("price")))
-            w = Window.partitionBy("stock_id").orderBy("month")
-            return m.select("stock_id", "month", (F.col("price") / F.lag("price").over(w) - 1).alias("ret"))
+            w = Window.partitionBy("sk").orderBy("month")
+            return m.select(F.col("sk").cast("string").alias("stock_id"), "month", (F.col("price") / F.lag("price").over(w) - 1).alias("ret"))
         return self._memo("monthret", build)
 
     def _quarterly(self) -> DataFrame:
         def build():
             money = F.round(F.sum("money"), 2)
-            return self._daily().groupBy("sk", "stock_id", quarter_end("date").alias("date")).agg(
+            quarterly = self._daily().groupBy("sk", quarter_end("date").alias("date")).agg(
                 F.round(F.sum("signed"), 2).alias("Equity"),
                 money.alias("TotalAssets"),
                 money.alias("Revenue"),
                 F.round(F.sum("cogs"), 4).alias("CostOfGoodsSold"),
                 F.round(F.sum("opex"), 4).alias("OperatingExpenses"),
             )
+            return quarterly.withColumn("stock_id", F.col("sk").cast("string"))
         return self._memo("quarterly", build)
 
     def balancesheet(self) -> DataFrame:
@@ -217,51 +217,47 @@ class FinanceTables:
         return self._adjprice().filter(F.col("date") >= F.lit(EXTRACT_NEW_FROM).cast("date"))
 
 
-ROWS_PER_FILE = 2_000_000
-
 TABLES = ["marketcap", "monthret", "dayret", "balancesheet", "incomestatement", "taiex", "bond_yield",
           "listing_tse", "listing_otc", "delisted", "adjprice_old", "adjprice_new"]
+#: small sums that several tables are made from, stored as well
+SHARED_SUMS = {"balancesheet": "quarterly", "incomestatement": "quarterly", "taiex": "orders_daily", "bond_yield": "orders_daily"}
 
 
 class StoredFinanceTables:
     """Finance tables written once as parquet in the shared checkpoint folder.
 
-    The adapter is an ETL step: each table is written (the daily aggregates
-    they share are kept only for the duration of the write), and every factor
-    query afterwards scans the files - as the reference's runs read stored
-    finance tables.  Files in the shared folder survive executor loss and cut
-    the lineage back to the driver tables.
+    The adapter is an ETL step: a table is written when it is first asked for,
+    and every factor query afterwards scans the files - as the reference's runs
+    read stored finance tables.  Files in the shared folder survive executor
+    loss and cut the lineage back to the driver tables.  Nothing is kept in
+    the executors' memory between the writes, and a query pays for the tables
+    it reads only: each takes the columns it needs through its own shuffle.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str, path: str):
         self.spark, self.sf_dir, self.path = spark, sf_dir, path
+        self._lazy = FinanceTables(spark, sf_dir)
         self._cache: dict = {}
+        self._lock = threading.RLock()
 
     def write(self) -> "StoredFinanceTables":
-        lazy = FinanceTables(self.spark, self.sf_dir)
-        daily, orders = lazy._daily().persist(StorageLevel.MEMORY_AND_DISK), \
-            lazy._orders_daily().persist(StorageLevel.MEMORY_AND_DISK)
-        lazy._cache["daily"], lazy._cache["orders_daily"] = daily, orders
-        # file count from the data, not from the session's shuffle partitions:
-        # at least one file per core, about ROWS_PER_FILE rows per file at most
-        try:
-            parallel = self.spark.sparkContext.defaultParallelism
-        except Exception:  # noqa: BLE001
-            parallel = 8
-        files = max(parallel, -(-daily.count() // ROWS_PER_FILE))
-        try:
-            for name in TABLES:
-                # coalesce only merges partitions (no shuffle) and never adds any
-                getattr(lazy, name)().coalesce(files).write.mode("overwrite").parquet(f"{self.path}/{name}")
-        finally:
-            daily.unpersist()
-            orders.unpersist()
+        """Writes every table now."""
+        for name in TABLES:
+            self._table(name)
         return self
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
     def _table(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            self._cache[name] = self.spark.read.parquet(f"{self.path}/{name}")
-        return self._cache[name]
+        with self._lock:
+            sums = SHARED_SUMS.get(name)
+            if sums and sums not in self._cache:
+                self._cache[sums] = self._lazy._cache[sums] = self._stored(sums, getattr(self._lazy, f"_{sums}")())
+            if name not in self._cache:
+                self._cache[name] = self._stored(name, getattr(self._lazy, name)())
+            return self._cache[name]
 
     def __getattr__(self, name):
         if name in TABLES:
@@ -276,8 +272,8 @@ _SHARED_LOCK = threading.Lock()
 def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
     """The finance tables of one data folder.
 
-    ``shared`` (default): written once per session and folder into the shared
-    checkpoint folder, then read as parquet by every query.  ``shared=False``:
+    ``shared`` (default): each written once per session and folder, when first
+    asked for, into the shared checkpoint folder, then read as parquet by every query.  ``shared=False``:
     the lazy derivation, recomputed inside each plan.
     """
     if not shared:
@@ -286,5 +282,5 @@ def finance_tables(spark: SparkSession, sf_dir: str, shared: bool = True):
     key = (*session_key(spark), sf_dir.rstrip("/"))
     with _SHARED_LOCK:
         if key not in _SHARED:
-            _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables")).write()
+            _SHARED[key] = StoredFinanceTables(spark, sf_dir, scratch_path(spark, "finance-tables"))
         return _SHARED[key]

@@ -116,3 +116,19 @@ def test_readers_clean_caps_and_returns(spark, tmp_dir):
     with open(csv, "w", encoding="utf-8") as f:
         f.write("stock_id,month,ret\n1101,2020-01-01,123\n1101,2020-02-01,0.5\n")
     assert [r.ret for r in readers.read_return_csv(spark, csv).orderBy("month").collect()] == [None, 0.5]
+
+
+def test_adapter_stores_only_the_tables_asked_for(spark, tmp_dir):
+    from panelfactors.plans.queries import StoredInputs
+    from panelfactors.sources.adapter import FinanceTables, StoredFinanceTables
+    from tests.conftest import SF_SMALL
+    stored, lazy = StoredFinanceTables(spark, SF_SMALL, tmp_dir), FinanceTables(spark, SF_SMALL)
+    inp = StoredInputs(stored)
+    assert os.listdir(tmp_dir) == []
+    assert sorted(map(tuple, inp.marketcap.collect()), key=str) == sorted(map(tuple, lazy.marketcap().collect()), key=str)
+    assert os.listdir(tmp_dir) == ["marketcap"]
+    for name in ("balancesheet", "incomestatement", "dayret", "monthret", "taiex", "bond_yield"):
+        got, want = getattr(stored, name)(), getattr(lazy, name)()
+        assert got.schema == want.schema or got.dtypes == want.dtypes
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
