@@ -62,9 +62,13 @@ def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, calla
     group's candidates for target ``_t``.
 
     The per-group tables joined back to ``base`` hold one row per group.  No
-    broadcast is forced: AQE measures them at runtime and broadcasts them when
-    small (calendar periods), and keeps a shuffled join for many groups.
+    broadcast is forced where the groups come from the data: AQE measures them
+    at runtime and broadcasts them when small (calendar periods), and keeps a
+    shuffled join for many groups.  Where the named columns are the only groups
+    (``keys`` is ``_key``), these tables have a row per column and are
+    broadcast, as a join by such a key would sort a whole column in one task.
     """
+    few = F.broadcast if keys == ["_key"] else (lambda df: df)
     pcts = sorted({min(1.0, max(0.0, h + s * w)) for _, _, h in targets for w in _WIDTHS for s in (-1, 1)})
     pidx = {p: i for i, p in enumerate(pcts)}
 
@@ -90,7 +94,7 @@ def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, calla
         for wi in range(len(_WIDTHS)):
             aggs.append(F.count_if(v < F.col(f"_lo{ti}_{wi}")).alias(f"_lt{ti}_{wi}"))
             aggs.append(F.count_if(v <= F.col(f"_hi{ti}_{wi}")).alias(f"_le{ti}_{wi}"))
-    counts = base.join(stats, keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
+    counts = base.join(few(stats), keys).groupBy(*keys, "_n", *bcols).agg(*aggs)
 
     # narrowest verified bracket; none verified -> the whole group.  The sketch errs by
     # 1e-4 of a group and the wide bracket spans 1e-2 to either side, so only groups of
@@ -120,7 +124,7 @@ def _candidates(base: DataFrame, keys: list[str], targets: list[tuple[str, calla
         cond = (blo.isNull() | (v >= blo)) & (bhi.isNull() | (v <= bhi))
         inside.append(F.when(cond, F.lit(ti)))
     return (
-        base.join(brackets, keys)
+        base.join(few(brackets), keys)
         .withColumn("_t", F.explode(F.filter(F.array(*inside), lambda x: x.isNotNull())))
         .withColumn("_pos", F.element_at(F.array(*[F.col(f"_pos{ti}") for ti in range(len(targets))]),
                                          F.col("_t") + 1))
@@ -157,7 +161,8 @@ def _stack(df: DataFrame, by: list[str], columns: dict[str, object]) -> DataFram
 def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs) -> DataFrame:
     """Linearly interpolated percentiles (the ``quantile_cont`` definition), exact.
 
-    Output: ``by..., {name}__n, {name}__p{i}`` for each prob index i.
+    Output: ``by..., {name}__n, {name}__p{i}`` for each prob index i.  ``by`` may be
+    empty: the columns of the whole table.
     """
     fracs = [p if isinstance(p, Fraction) else Fraction(str(p)) for p in probs]
     targets = []
@@ -172,7 +177,8 @@ def percentiles(df: DataFrame, by: list[str], columns: dict[str, object], probs)
         for ti in range(len(targets)):
             aggs.append(F.first(F.when(is_name & (F.col("_t") == ti), F.col("_v")), ignorenulls=True)
                         .alias(f"_{name}__t{ti}"))
-    stats = picked.groupBy(*by).agg(*aggs)
+    # without groups one row of the whole table, and none where no value is
+    stats = picked.groupBy(*by or [F.lit(0).alias("_all")]).agg(*aggs)
     outs = []
     for name in columns:
         n = F.col(f"{name}__n")

@@ -33,8 +33,7 @@ def profile(df: DataFrame, cols: list[str]) -> DataFrame:
         F.min(F.col(c).cast("double")).alias(f"{c}__min"),
         F.max(F.col(c).cast("double")).alias(f"{c}__max"),
     )])
-    keyed = df.withColumn("_all", F.lit(0))
-    q = percentiles(keyed, ["_all"], {c: c for c in cols}, QUARTILES).drop("_all")
+    q = percentiles(df, [], {c: c for c in cols}, QUARTILES)
     wide = moments.crossJoin(q)  # one row x one row
     stat_cols = {"count": "count", "mean": "mean", "std": "std", "min": "min",
                  "25%": "p0", "50%": "p1", "75%": "p2", "max": "max"}

@@ -132,3 +132,18 @@ def test_adapter_stores_only_the_tables_asked_for(spark, tmp_dir):
         assert got.schema == want.schema or got.dtypes == want.dtypes
         assert sorted(map(tuple, got.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
     assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_profile_joins_no_whole_column_into_one_task(spark):
+    df = spark.range(1000).selectExpr("id % 37 as x", "cast(null as double) as y")
+    got = profiling.profile(df, ["x", "y"])
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = {r.summary: r for r in got.collect()}
+        plan = got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    assert (rows["count"].x, rows["50%"].x, rows["max"].x, rows["count"].y, rows["50%"].y) == (1000.0, 18.0, 36.0, 0.0, None)
+    assert profiling.profile(df.limit(0), ["x"]).count() == 0
